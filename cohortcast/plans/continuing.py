@@ -1 +1,122 @@
-"""Continuing-course family."""
+"""Continuing-course family (C4 candidates, C5 features, C8 targets), all months in one plan.
+
+A cell of month m feeds the target month m+1 (monthly course) or m+2
+(bimonthly course): the cohort base (F6) is a per-row target month, not a
+join.  Its students move on to the successor course; in March seasonal
+courses hand over to their mapped successor.  Every lookup is a broadcast
+join; the predecessor roll-in (J8) and course totals are ``groupBy``s.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..config import DEFAULT, Params
+from ..functions.periods import month_of, ord_period, period_ord, shift, shift_period
+from ..functions.scalars import growth
+from ..operators import clean, enrich
+from ..operators.enrich import SUCC
+from ..operators.quality import require
+from ..operators.rollup import course_totals
+from ..sources.dims import Dims
+
+FAMILY = "continuidad_regular"
+CANDIDATE_COLUMNS = ["PERIODO_TARGET", "PERIODO", "PERIODO_LAG_12", "SEDE", "CURSO_ANTERIOR", "CURSO_ACTUAL",
+                     "IDX", "PE", "VAC_ACAD_ESTANDAR", "PE_ANTERIOR"]
+ANTERIOR_KEYS = ["PERIODO_TARGET", "PERIODO_LAG_12", "SEDE", "CURSO_ACTUAL", "IDX", "PE", "PE_ANTERIOR",
+                 "VAC_ACAD_ESTANDAR"]
+COURSE_KEYS = ["PERIODO_TARGET", "SEDE", "CURSO_ACTUAL"]
+
+
+def base_rows(full: DataFrame, dims: Dims, target_range: tuple[int, int], params: Params = DEFAULT) -> DataFrame:
+    """each cell with the target month it feeds (+1 monthly, +2 bimonthly) and its course attributes."""
+    attrs = enrich.course_attributes(dims, ["NIVEL", "FRECUENCIA", "DURACION", SUCC])
+    step = (F.when(F.col("DURACION") == params.monthly, 1)
+             .when(F.col("DURACION") == params.bimonthly, 2))
+    lo, hi = target_range
+    return (full.join(attrs, "CURSO_ACTUAL", "left")
+                .withColumn("NIVEL", require("NIVEL", "course attributes"))
+                .withColumn("PERIODO_TARGET", ord_period(period_ord("PERIODO") + step))
+                .where(F.col("PERIODO_TARGET").between(lo, hi)))
+
+
+def finish_candidates(c: DataFrame, dims: Dims, params: Params) -> DataFrame:
+    """Shared tail: predecessor PE on its own month, rename to the successor, PE / seats / flags on the target."""
+    c = c.withColumn("PERIODO_LAG_12", shift_period("PERIODO_TARGET", 12)).withColumn("IDX", F.lit(1))
+    c = enrich.add_pe(c, dims, "PERIODO", params, out="PE_ANTERIOR")
+    c = c.withColumnRenamed("CURSO_ACTUAL", "CURSO_ANTERIOR").withColumnRenamed(SUCC, "CURSO_ACTUAL")
+    c = enrich.add_pe(c, dims, "PERIODO_TARGET", params)
+    c = enrich.add_seats(c, dims, "PERIODO_TARGET")
+    return enrich.add_flags(c, dims).where(F.col("FLAG_INICIAL") == 0)
+
+
+def candidates(full: DataFrame, dims: Dims, target_range: tuple[int, int], params: Params = DEFAULT) -> DataFrame:
+    """C4: (target, base month, site, predecessor, successor) rows."""
+    b = base_rows(full, dims, target_range, params)
+    march = month_of("PERIODO_TARGET") == params.substitution_month
+    regular = (b.where((F.col("FLAG_ESTACIONAL") == 0) & clean.not_terminal(SUCC, params)
+                       & ~(march & clean.march_excluded("NIVEL", "FRECUENCIA", "HORARIO_ACTUAL", params)))
+                .select("PERIODO_TARGET", "PERIODO", "SEDE", "CURSO_ACTUAL", F.col(f"`{SUCC}`")).distinct())
+    smap = dims.small("seasonal_course_map", dims["seasonal_course_map"].select("CURSO_ACTUAL", f"`{SUCC}`"))
+    seasonal = (b.where((F.col("FLAG_ESTACIONAL") == 1) & march)
+                 .select("PERIODO_TARGET", "PERIODO", "SEDE", "CURSO_ACTUAL")
+                 .join(smap, "CURSO_ACTUAL", "left")
+                 .withColumn(SUCC, require(f"`{SUCC}`", "seasonal successor"))
+                 .select("PERIODO_TARGET", "PERIODO", "SEDE", "CURSO_ACTUAL", F.col(f"`{SUCC}`")).distinct())
+    return finish_candidates(regular.unionByName(seasonal), dims, params).select(*CANDIDATE_COLUMNS)
+
+
+def targets(full: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """Course-level actuals of non-initial regular courses, target blackout applied."""
+    real = full.where((F.col("FLAG_ESTACIONAL") == 0) & (F.col("FLAG_INICIAL") == 0))
+    t = course_totals(real).withColumnRenamed("PERIODO", "PERIODO_TARGET")
+    return clean.drop_blackout(t, FAMILY, "target", params)
+
+
+def anterior(cand: DataFrame, full: DataFrame) -> DataFrame:
+    """J8 + A7: predecessor totals of the base month, re-aggregated to the successor."""
+    tot = course_totals(full).withColumnRenamed("CURSO_ACTUAL", "CURSO_ANTERIOR")
+    x = cand.join(tot, ["PERIODO", "SEDE", "CURSO_ANTERIOR"], "left")
+    return x.groupBy(*ANTERIOR_KEYS).agg(
+        F.sum(F.coalesce("CANT_CLASES", F.lit(0))).cast("double").alias("CANT_CLASES_ANTERIOR"),
+        F.sum(F.coalesce("CANT_ALUMNOS", F.lit(0))).cast("double").alias("CANT_ALUMNOS_ANTERIOR"))
+
+
+def features(full: DataFrame, dims: Dims, target_range: tuple[int, int], params: Params = DEFAULT,
+             blackout: bool = True) -> DataFrame:
+    """Candidates + predecessor roll-in + lag 12 + same period last year + actuals + growth targets."""
+    lo, hi = target_range
+    cand = candidates(full, dims, (shift(lo, 12), hi), params)
+    ant = anterior(cand, full)
+    tgt = targets(full, params)
+    tot = course_totals(full)
+
+    # Last year's predecessor totals vs last year's actuals, moved forward 12 months
+    sply = (ant.select(*COURSE_KEYS, "CANT_CLASES_ANTERIOR", "CANT_ALUMNOS_ANTERIOR")
+               .join(tgt, COURSE_KEYS, "left")
+               .select(shift_period("PERIODO_TARGET", -12).alias("PERIODO_TARGET"), "SEDE", "CURSO_ACTUAL",
+                       (F.coalesce("CANT_ALUMNOS", F.lit(0)) - F.col("CANT_ALUMNOS_ANTERIOR")).alias("DIFF_ALUMNOS_SPLY"),
+                       growth(F.coalesce("CANT_ALUMNOS", F.lit(0)), "CANT_ALUMNOS_ANTERIOR", params).alias("PCT_ALUMNOS_SPLY"),
+                       (F.coalesce("CANT_CLASES", F.lit(0)) - F.col("CANT_CLASES_ANTERIOR")).alias("DIFF_CLASES_SPLY"),
+                       growth(F.coalesce("CANT_CLASES", F.lit(0)), "CANT_CLASES_ANTERIOR", params).alias("PCT_CLASES_SPLY")))
+
+    f = ant.where(F.col("PERIODO_TARGET").between(lo, hi))
+    lag12 = tot.select(F.col("PERIODO").alias("PERIODO_LAG_12"), "SEDE", "CURSO_ACTUAL",
+                       F.col("CANT_CLASES").cast("double").alias("CANT_CLASES_LAG_12"),
+                       F.col("CANT_ALUMNOS").cast("double").alias("CANT_ALUMNOS_LAG_12"))
+    f = f.join(lag12, ["PERIODO_LAG_12", "SEDE", "CURSO_ACTUAL"], "left")
+    f = f.join(sply, COURSE_KEYS, "left")
+    f = f.join(tgt, COURSE_KEYS, "left")
+    f = f.select(*ANTERIOR_KEYS, "CANT_CLASES_ANTERIOR", "CANT_ALUMNOS_ANTERIOR",
+                 *[F.coalesce(c, F.lit(0.0)).alias(c) for c in
+                   ("CANT_CLASES_LAG_12", "CANT_ALUMNOS_LAG_12", "DIFF_ALUMNOS_SPLY", "PCT_ALUMNOS_SPLY",
+                    "DIFF_CLASES_SPLY", "PCT_CLASES_SPLY")],
+                 F.coalesce("CANT_CLASES", F.lit(0)).cast("int").alias("CANT_CLASES"),
+                 F.coalesce("CANT_ALUMNOS", F.lit(0)).cast("int").alias("CANT_ALUMNOS"))
+    f = (f.withColumn("PCT_ALUMNOS", growth("CANT_ALUMNOS", "CANT_ALUMNOS_ANTERIOR", params))
+          .withColumn("PCT_CLASES", growth("CANT_CLASES", "CANT_CLASES_ANTERIOR", params)))
+    f = enrich.add_categoricals(f, dims, ("NIVEL", "CURSO_2", "FRECUENCIA", "DURACION"))
+    if blackout:
+        f = clean.drop_blackout(f, FAMILY, "features", params)
+    return f
