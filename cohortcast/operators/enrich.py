@@ -50,8 +50,9 @@ def add_flags(df: DataFrame, dims: Dims) -> DataFrame:
         raise ValueError("frame already carries course flags")
     seasonal = dims.small("course_map", dims["course_map"].select(
         F.col("CURSO_ANTERIOR").alias("CURSO_ACTUAL"), "FLAG_ESTACIONAL"))
+    # the initial-course table is a set (deduplicated when loaded), so the join cannot fan out
     initial = dims.small("initial_courses", dims["initial_courses"].select(
-        F.col("CURSOS_INICIALES").alias("CURSO_2"), F.lit(1).alias("_INI")).distinct())
+        F.col("CURSOS_INICIALES").alias("CURSO_2"), F.lit(1).alias("_INI")))
     c2 = dims.small("courses", dims["courses"].select("CURSO_ACTUAL", "CURSO_2"))
     out = (df.join(seasonal, "CURSO_ACTUAL", "left")
              .join(c2, "CURSO_ACTUAL", "left")

@@ -164,13 +164,20 @@ DIM_SPECS = {
 }
 
 
+_DIMS_CACHE: dict = {}
+
+
 def dims(spark: SparkSession) -> Dims:
-    tables, rows = {}, {}
-    for name, (fn, schema) in DIM_SPECS.items():
-        data = fn()
-        tables[name] = spark.createDataFrame(data, schema)
-        rows[name] = len(data)
-    return Dims(tables, rows)
+    """Catalogue tables as in-plan ``VALUES`` (JVM local relations with exact size statistics)."""
+    key = id(spark)
+    if key not in _DIMS_CACHE:
+        tables, rows = {}, {}
+        for name, (fn, schema) in DIM_SPECS.items():
+            data = fn()
+            tables[name] = spark.sql(values_sql(data, schema, quote="`"))
+            rows[name] = len(data)
+        _DIMS_CACHE[key] = Dims(tables, rows)
+    return _DIMS_CACHE[key]
 
 
 # ---- fact views ------------------------------------------------------------
@@ -277,13 +284,17 @@ def _sql_cols(schema: str) -> list[tuple[str, str]]:
 
 
 SQL_TYPES = {"string": "VARCHAR", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN", "long": "BIGINT"}
+SPARK_TYPES = {"string": "STRING", "int": "INT", "double": "DOUBLE", "boolean": "BOOLEAN", "long": "BIGINT"}
 
 
-def values_sql(rows, schema: str) -> str:
+def values_sql(rows, schema: str, quote: str = '"') -> str:
+    """Rows as a typed ``VALUES`` query; ``quote`` is the identifier quote of the dialect."""
     cols = _sql_cols(schema)
     body = ",\n    ".join("(" + ", ".join(_sql_lit(v) for v in r) + ")" for r in rows)
-    names = ", ".join(f'"{c}"' for c, _ in cols)
-    casts = ", ".join(f'CAST("{c}" AS {SQL_TYPES[t]}) AS "{c}"' for c, t in cols)
+    q = quote
+    names = ", ".join(f"{q}{c}{q}" for c, _ in cols)
+    types = SPARK_TYPES if quote == "`" else SQL_TYPES
+    casts = ", ".join(f"CAST({q}{c}{q} AS {types[t]}) AS {q}{c}{q}" for c, t in cols)
     return f"(SELECT {casts} FROM (VALUES\n    {body}) AS v({names}))"
 
 
