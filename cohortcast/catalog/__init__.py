@@ -1,6 +1,6 @@
 """Queries over the driver tables, each with a DuckDB oracle where SQL can express it."""
 
-from . import etl, families, forecasting  # noqa: F401  (registers queries)
+from . import etl, families, forecasting, lookups  # noqa: F401  (registers queries)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
