@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,12 @@ ORACLES: dict[str, str] = {}
 def query(name: str, oracle: str | Callable[[], str] | None = None):
     """Register ``fn(spark, sf_dir) -> DataFrame`` under ``name`` with optional oracle SQL."""
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from ..sources.driver import reset_base
+            reset_base()                      # each query builds (and checkpoints) its own base once
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle() if callable(oracle) else oracle
         return fn

@@ -256,11 +256,32 @@ def synthetic_cells(spark: SparkSession, sf_dir: str, dm: Dims) -> DataFrame:
     return rollup.synthetic_rollup(s)
 
 
+# Shared base of one query: built once, checkpointed, reused by every branch of the plan.
+_BASE: dict = {}
+
+
+def reset_base() -> None:
+    """Forget the shared base (called at the start of every registered query)."""
+    _BASE.clear()
+
+
 def regular(spark: SparkSession, sf_dir: str, dm: Dims, include_seasonal: bool = False) -> DataFrame:
-    """Facts (A1 over class_rows) + synthetic (A2), regrouped (A3), with course flags."""
+    """Facts (A1 over class_rows) + synthetic (A2), regrouped (A3), with course flags.
+
+    The roll-up is the input of every family; it is computed once per query and
+    cut from its lineage with a reliable checkpoint in the shared checkpoint
+    folder, so later stages neither recompute the fact joins nor depend on
+    executors that computed them.
+    """
     from ..operators import rollup
-    facts = rollup.platinum_rollup(class_rows(spark, sf_dir))
-    return rollup.regular_facts(facts, synthetic_cells(spark, sf_dir, dm), dm, include_seasonal)
+    from ..session import cut_lineage
+    key = (id(spark), sf_dir, id(dm))
+    if key not in _BASE:
+        facts = rollup.platinum_rollup(class_rows(spark, sf_dir))
+        full = rollup.regular_facts(facts, synthetic_cells(spark, sf_dir, dm), dm, include_seasonal=True)
+        _BASE[key] = cut_lineage(full)
+    full = _BASE[key]
+    return full if include_seasonal else full.where(F.col("FLAG_ESTACIONAL") == 0)
 
 
 # ---- SQL rendering for the oracle -------------------------------------------
