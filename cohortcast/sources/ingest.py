@@ -123,8 +123,12 @@ def calendar_gate(calendar: DataFrame, as_of: str) -> DataFrame:
 
 
 def with_file_version(df: DataFrame, pattern: str = r".+_(v[0-9]+).*[.]parquet") -> DataFrame:
-    """File name of each row and the version parsed out of it."""
-    name = F.col("_metadata.file_name")
+    """Source path of each row and the version parsed out of it.
+
+    Spark datasets are folders of part files, so the version is read from the
+    full path (the dataset folder carries the name), not from the part file.
+    """
+    name = F.col("_metadata.file_path")
     return df.withColumn("NAME_FILE", name).withColumn("VERSION", F.regexp_extract(name, pattern, 1))
 
 
