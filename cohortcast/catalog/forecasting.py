@@ -48,7 +48,10 @@ def slot_forecast(spark, sf_dir, source: str = "FAC_ALUMNOS_ANTERIOR") -> DataFr
     dm, full = _frames(spark, sf_dir)
     cf = continuing.features(full, dm, drv.TARGET_RANGE, P)
     sf = slot.features(full, dm, drv.TARGET_RANGE, P)
-    return forecast.with_classes(shares.apportion(slot_shares(sf, source), course_forecast(cf)))
+    fac = slot_shares(sf, source)
+    # courses the slot family can place (the apportioner itself insists every course has slots)
+    cant = course_forecast(cf).join(fac.select(*CK), CK, "left_semi")
+    return forecast.with_classes(shares.apportion(fac, cant))
 
 
 def slot_targets_in_range(spark, sf_dir) -> DataFrame:
@@ -131,7 +134,8 @@ def slot_forecast_ctes(source: str = "FAC_ALUMNOS_ANTERIOR", prefix: str = "") -
 cf AS (SELECT * FROM ({continuing_features_sql()}) q),
 sf AS (SELECT * FROM ({slot_features_sql()}) q),
 cant AS (SELECT PERIODO_TARGET, SEDE, CURSO_ACTUAL, PE, {clean_sql('CANT_ALUMNOS_ANTERIOR')} AS CANT_ALUMNOS_PREDICT
-           FROM cf),
+           FROM cf WHERE EXISTS (SELECT 1 FROM sf WHERE sf.PERIODO_TARGET = cf.PERIODO_TARGET AND sf.SEDE = cf.SEDE
+                                                    AND sf.CURSO_ACTUAL = cf.CURSO_ACTUAL)),
 fac AS (SELECT PERIODO_TARGET, SEDE, CURSO_ACTUAL, HORARIO_ACTUAL, IDX, PE, VAC_ACAD_ESTANDAR,
                greatest(COALESCE({source}, 0.0), 0.0) AS FAC_ALUMNOS_PREDICT, CANT_ALUMNOS_ANTERIOR,
                CANT_CLASES_ANTERIOR FROM sf),
