@@ -137,7 +137,7 @@ o3 AS (SELECT *, SUM(OVER_) OVER (PARTITION BY PERIODO_TARGET, SEDE)
                         THEN SPACE_ / SUM(SPACE_) OVER (PARTITION BY PERIODO_TARGET, SEDE) END AS AMT FROM o2),
 o4 AS (SELECT *, floor(AMT) AS Q, AMT - floor(AMT) AS R FROM o3),
 o5 AS (SELECT *, round_even(SUM(R) OVER (PARTITION BY PERIODO_TARGET, SEDE), 0) AS K,
-              ROW_NUMBER() OVER (PARTITION BY PERIODO_TARGET, SEDE ORDER BY R DESC NULLS LAST,
+              ROW_NUMBER() OVER (PARTITION BY PERIODO_TARGET, SEDE ORDER BY round(R, 9) DESC NULLS LAST,
                                  CURSO_ACTUAL DESC NULLS LAST, CANT_ALUMNOS_PREDICT DESC NULLS LAST,
                                  FAC_ALUMNOS_PREDICT DESC NULLS LAST, CANT_ALUMNOS_ANTERIOR DESC NULLS LAST,
                                  CANT_CLASES_ANTERIOR DESC NULLS LAST, PE DESC NULLS LAST,

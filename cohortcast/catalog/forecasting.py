@@ -106,7 +106,7 @@ w1{sfx} AS (SELECT *, CASE WHEN SUM(FAC0) OVER ({G}) = 0 THEN 1.0 ELSE FAC0 END
 w2{sfx} AS (SELECT *, CANT_ALUMNOS_PREDICT * (FAC_ALUMNOS_PREDICT / SUM(FAC_ALUMNOS_PREDICT) OVER ({G})) AS AMT FROM w1{sfx}),
 w3{sfx} AS (SELECT *, floor(AMT) AS Q, AMT - floor(AMT) AS R FROM w2{sfx}),
 w4{sfx} AS (SELECT *, round_even(SUM(R) OVER ({G}), 0) AS K,
-              ROW_NUMBER() OVER ({G} ORDER BY R DESC NULLS LAST, HORARIO_ACTUAL DESC NULLS LAST, {TIEBREAK_SQL}) AS RNK
+              ROW_NUMBER() OVER ({G} ORDER BY round(R, 9) DESC NULLS LAST, HORARIO_ACTUAL DESC NULLS LAST, {TIEBREAK_SQL}) AS RNK
          FROM w3{sfx}),
 w5{sfx} AS (SELECT *, Q + CASE WHEN RNK <= K THEN 1.0 ELSE 0.0 END AS CANT FROM w4{sfx}),
 v1{sfx} AS (SELECT *, COUNT(*) OVER ({G}) AS N,
@@ -117,7 +117,7 @@ v2{sfx} AS (SELECT *, (N > 1 AND LT_TOTAL <> 0) AS ELIG,
          FROM v1{sfx} WHERE N = 1 OR CANT >= PE),
 v3{sfx} AS (SELECT *, CASE WHEN ELIG THEN floor(AMT2) END AS Q2, CASE WHEN ELIG THEN AMT2 - floor(AMT2) END AS R2 FROM v2{sfx}),
 v4{sfx} AS (SELECT *, round_even(SUM(R2) OVER ({G}), 0) AS K2,
-              ROW_NUMBER() OVER ({G} ORDER BY ELIG DESC, R2 DESC NULLS LAST, HORARIO_ACTUAL DESC NULLS LAST,
+              ROW_NUMBER() OVER ({G} ORDER BY ELIG DESC, round(R2, 9) DESC NULLS LAST, HORARIO_ACTUAL DESC NULLS LAST,
                                  {TIEBREAK_SQL}) AS RNK2
          FROM v3{sfx}),
 appo{sfx} AS (
@@ -202,7 +202,7 @@ w1 AS (SELECT *, CASE WHEN SUM(FAC0) OVER ({G}) = 0 THEN 1.0 ELSE FAC0 END AS FA
 w2 AS (SELECT *, TOTAL * (FAC_ALUMNOS_PREDICT / SUM(FAC_ALUMNOS_PREDICT) OVER ({G})) AS AMT FROM w1),
 w3 AS (SELECT *, floor(AMT) AS Q, AMT - floor(AMT) AS R FROM w2),
 w4 AS (SELECT *, round_even(SUM(R) OVER ({G}), 0) AS K,
-              ROW_NUMBER() OVER ({G} ORDER BY R DESC NULLS LAST, HORARIO_ACTUAL DESC NULLS LAST,
+              ROW_NUMBER() OVER ({G} ORDER BY round(R, 9) DESC NULLS LAST, HORARIO_ACTUAL DESC NULLS LAST,
                                  FAC_ALUMNOS_PREDICT DESC NULLS LAST) AS RNK FROM w3)
 SELECT PERIODO_TARGET, SEDE, CURSO_ACTUAL, HORARIO_ACTUAL, TOTAL, FAC_ALUMNOS_PREDICT,
        Q + CASE WHEN RNK <= K THEN 1.0 ELSE 0.0 END AS CANT_ALUMNOS FROM w4"""

@@ -8,6 +8,10 @@ month -- bounded by the slot catalogue, never by the data volume.
 Tie rule: among equal remainders the later slot wins (the production code
 takes the top of a reversed ascending argsort over slot-sorted rows), so
 ranks order by remainder desc, then slot desc, then every other column.
+Remainders are compared after rounding to ``TIE_DIGITS`` decimals: shares
+that are equal in exact arithmetic differ only by summation-order noise, and
+the order of rows inside a window partition is not fixed, so without the
+rounding such ties would be broken at random.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ def share_of_parent(value: str, parent_keys) -> Column:
                         F.sum(value).over(Window.partitionBy(*parent_keys)).cast("double"))
 
 
+TIE_DIGITS = 9
 # Columns that complete the ordering when remainder and slot tie (duplicated slots).
 TIEBREAK = ["CANT_ALUMNOS_PREDICT", "FAC_ALUMNOS_PREDICT", "CANT_ALUMNOS_ANTERIOR", "CANT_CLASES_ANTERIOR",
             "PE", "VAC_ACAD_ESTANDAR", "IDX"]
@@ -46,7 +51,7 @@ def largest_remainder(df: DataFrame, amount: str, out: str, keys=COURSE_KEY, slo
     x = x.withColumn("_R", F.when(F.col("_ELIG"), F.col(amount) - F.col("_Q")))
     w = Window.partitionBy(*keys)
     x = x.withColumn("_K", F.bround(F.sum("_R").over(w), 0))
-    order = [F.col("_ELIG").desc(), F.col("_R").desc_nulls_last(), F.col(slot).desc_nulls_last()]
+    order = [F.col("_ELIG").desc(), F.round("_R", TIE_DIGITS).desc_nulls_last(), F.col(slot).desc_nulls_last()]
     order += [F.col(c).desc_nulls_last() for c in TIEBREAK if c in df.columns and c not in keys and c != slot]
     x = x.withColumn("_RANK", F.row_number().over(w.orderBy(*order)))
     x = x.withColumn(out, F.when(F.col("_ELIG"), F.col("_Q") + F.when(F.col("_RANK") <= F.col("_K"), 1.0)
