@@ -44,10 +44,31 @@ def slot_shares(sf: DataFrame, source: str = "FAC_ALUMNOS_ANTERIOR") -> DataFram
                      "CANT_ALUMNOS_ANTERIOR", "CANT_CLASES_ANTERIOR")
 
 
-def slot_forecast(spark, sf_dir, source: str = "FAC_ALUMNOS_ANTERIOR") -> DataFrame:
+_FEATURES: dict = {}
+
+
+def family_features(spark, sf_dir, family: str) -> DataFrame:
+    """Feature layer of a family, materialised once per query (the scorer reads a written layer)."""
+    from ..session import cut_lineage
     dm, full = _frames(spark, sf_dir)
-    cf = continuing.features(full, dm, drv.TARGET_RANGE, P)
-    sf = slot.features(full, dm, drv.TARGET_RANGE, P)
+    if _FEATURES.get("_base") is not full:        # a new query built a new base: forget old layers
+        _FEATURES.clear()
+        _FEATURES["_base"] = full
+    key = family
+    if key not in _FEATURES:
+        if family == "continuing":
+            f = continuing.features(full, dm, drv.TARGET_RANGE, P)
+        elif family == "slot":
+            f = slot.features(full, dm, drv.TARGET_RANGE, P)
+        else:
+            f = first_level.features(full.where(F.col("FLAG_ESTACIONAL") == 0), dm, drv.TARGET_RANGE, P)
+        _FEATURES[key] = cut_lineage(f)
+    return _FEATURES[key]
+
+
+def slot_forecast(spark, sf_dir, source: str = "FAC_ALUMNOS_ANTERIOR") -> DataFrame:
+    cf = family_features(spark, sf_dir, "continuing")
+    sf = family_features(spark, sf_dir, "slot")
     fac = slot_shares(sf, source)
     # courses the slot family can place (the apportioner itself insists every course has slots)
     cant = course_forecast(cf).join(fac.select(*CK), CK, "left_semi")
@@ -61,8 +82,7 @@ def slot_targets_in_range(spark, sf_dir) -> DataFrame:
 
 
 def first_level_forecast(spark, sf_dir, version: str = "v1") -> DataFrame:
-    dm, reg = _frames(spark, sf_dir, seasonal=False)
-    f = first_level.features(reg, dm, drv.TARGET_RANGE, P)
+    f = family_features(spark, sf_dir, "first")
     raw = F.col("CANT_ALUMNOS_LAG_01") if version == "v1" else (
         (F.col("CANT_ALUMNOS_LAG_01") + F.col("CANT_ALUMNOS_LAG_02") + F.col("CANT_ALUMNOS_LAG_03")) / 3)
     out = f.select(*SK, "IDX", "PE", "VAC_ACAD_ESTANDAR", clean_prediction(raw, P).alias("CANT_ALUMNOS_PREDICT"))

@@ -116,7 +116,8 @@ def period_frame(spark: SparkSession, start: int, end: int, name: str = "PERIODO
 
 
 def period_list_frame(spark: SparkSession, periods, name: str = "PERIODO") -> DataFrame:
-    return spark.createDataFrame([(int(p),) for p in periods], f"{name} int")
+    from ..sources.local import local_frame
+    return local_frame(spark, [(int(p),) for p in periods], f"{name} int")
 
 
 # Which model families run in a given month (P8).  Fixed values.
@@ -141,7 +142,8 @@ def schedule_rows() -> list[tuple[int, str, bool]]:
 
 def schedule_frame(spark: SparkSession) -> DataFrame:
     """P8 as a dim: (MONTH, TIPO, RUNS)."""
-    return spark.createDataFrame(schedule_rows(), "MONTH int, TIPO string, RUNS boolean")
+    from ..sources.local import local_frame
+    return local_frame(spark, schedule_rows(), "MONTH int, TIPO string, RUNS boolean")
 
 
 def schedule_for(period: int) -> dict[str, bool]:

@@ -61,7 +61,8 @@ def available(df: DataFrame, flag: str = "FLAG_DISPONIBLE") -> DataFrame:
 
 
 def blackout_frame(spark: SparkSession, params: Params = DEFAULT) -> DataFrame:
-    return spark.createDataFrame(list(params.blackout), "TIPO string, USE string, SEDE string, PERIODO_TARGET int")
+    from ..sources.local import local_frame
+    return local_frame(spark, params.blackout, "TIPO string, USE string, SEDE string, PERIODO_TARGET int")
 
 
 def drop_blackout(df: DataFrame, family: str, use: str, params: Params = DEFAULT,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Params
 from ..functions.scalars import excess, exact_match, shortage
+from ..sources.local import local_frame
 
 EVAL_KEYS = ["PERIODO_TARGET", "SEDE", "CURSO_ACTUAL", "HORARIO_ACTUAL"]
 
@@ -65,7 +66,7 @@ def mean_score(scores: DataFrame, group_cols=()) -> DataFrame:
 def verdict(mean_scores: DataFrame, params: Params = DEFAULT, family_col: str = "TIPO") -> DataFrame:
     """Approve when the mean score reaches the family's threshold (a null score is rejected)."""
     spark = mean_scores.sparkSession
-    th = spark.createDataFrame([(f, float(t)) for f, t in params.thresholds], f"{family_col} string, threshold double")
+    th = local_frame(spark, [(f, float(t)) for f, t in params.thresholds], f"{family_col} string, threshold double")
     j = mean_scores.join(F.broadcast(th), family_col, "left")
     return j.withColumn("verdict", F.when(F.col("score") >= F.col("threshold"), "approved").otherwise("rejected"))
 
@@ -80,7 +81,7 @@ def compare(mean_scores: DataFrame, champion: str, challenger: str, compared=COM
     Families with no score count as 0.0.  One row per family plus the decision.
     """
     spark: SparkSession = mean_scores.sparkSession
-    fams = spark.createDataFrame([(f,) for f in compared], f"{family_col} string")
+    fams = local_frame(spark, [(f,) for f in compared], f"{family_col} string")
     s = mean_scores.where(F.col(version_col).isin(champion, challenger))
     piv = s.groupBy(family_col).agg(
         F.max(F.when(F.col(version_col) == champion, F.col("score"))).alias("champion_score"),

@@ -182,8 +182,15 @@ def dims(spark: SparkSession) -> Dims:
 
 # ---- fact views ------------------------------------------------------------
 
+_READS: dict = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One reader per (session, table): file listing and footers are resolved once."""
+    key = (id(spark), sf_dir, name)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _READS[key]
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,37 +293,8 @@ def regular(spark: SparkSession, sf_dir: str, dm: Dims, include_seasonal: bool =
 
 # ---- SQL rendering for the oracle -------------------------------------------
 
-def _sql_lit(v) -> str:
-    if v is None:
-        return "NULL"
-    if isinstance(v, bool):
-        return "TRUE" if v else "FALSE"
-    if isinstance(v, (int, float)):
-        return repr(v)
-    return "'" + str(v).replace("'", "''") + "'"
-
-
-def _sql_cols(schema: str) -> list[tuple[str, str]]:
-    out = []
-    for part in schema.split(","):
-        name, typ = part.strip().rsplit(" ", 1)
-        out.append((name.strip("`"), typ))
-    return out
-
-
-SQL_TYPES = {"string": "VARCHAR", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN", "long": "BIGINT"}
-SPARK_TYPES = {"string": "STRING", "int": "INT", "double": "DOUBLE", "boolean": "BOOLEAN", "long": "BIGINT"}
-
-
-def values_sql(rows, schema: str, quote: str = '"') -> str:
-    """Rows as a typed ``VALUES`` query; ``quote`` is the identifier quote of the dialect."""
-    cols = _sql_cols(schema)
-    body = ",\n    ".join("(" + ", ".join(_sql_lit(v) for v in r) + ")" for r in rows)
-    q = quote
-    names = ", ".join(f"{q}{c}{q}" for c, _ in cols)
-    types = SPARK_TYPES if quote == "`" else SQL_TYPES
-    casts = ", ".join(f"CAST({q}{c}{q} AS {types[t]}) AS {q}{c}{q}" for c, t in cols)
-    return f"(SELECT {casts} FROM (VALUES\n    {body}) AS v({names}))"
+from .local import SQL_TYPES, SPARK_TYPES, values_sql  # noqa: E402,F401
+from .local import sql_literal as _sql_lit  # noqa: E402,F401
 
 
 def dim_sql(name: str) -> str:

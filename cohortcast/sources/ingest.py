@@ -81,7 +81,8 @@ def read_classes(spark: SparkSession, root: str, periods=None, fmt: str = "parqu
 
 def missing_periods(spark: SparkSession, facts: DataFrame, periods) -> DataFrame:
     """S6 report: requested months with no rows (anti join of expected vs present)."""
-    want = spark.createDataFrame([(int(p),) for p in periods], "PERIODO int")
+    from .local import local_frame
+    want = local_frame(spark, [(int(p),) for p in periods], "PERIODO int")
     return want.join(facts.select("PERIODO").distinct(), "PERIODO", "left_anti")
 
 
