@@ -62,9 +62,13 @@ def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", skip_banner: bo
     if fmt == "csv":
         r = spark.read.option("header", "true").option("inferSchema", "false").option("encoding", "UTF-8")
         if skip_banner:
-            # a one-line banner above the header: the header is the first line that is not the banner
-            r = r.option("skipRows", "1")
-        df = r.csv(path)
+            # one sheet per call: drop its first line (a title above the header row); sheets are
+            # catalogue-sized, the monthly facts come as Parquet without a banner
+            lines = (spark.read.text(path).rdd.zipWithIndex()
+                     .filter(lambda x: x[1] > 0).map(lambda x: x[0][0]))
+            df = r.csv(lines)
+        else:
+            df = r.csv(path)
     else:
         df = spark.read.parquet(path)
     return normalise_headers(df)
