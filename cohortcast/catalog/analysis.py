@@ -176,3 +176,33 @@ def train_score(spark, sf_dir):
     scored = forecast.score_first_level(model.score(loaded, test, spec), P)
     return scored.select(*SK, "IDX", "PE", "VAC_ACAD_ESTANDAR", "CANT_ALUMNOS", "prediction",
                          "CANT_ALUMNOS_PREDICT", "CANT_CLASES_PREDICT")
+
+
+MONTH_RUN = 200006
+MONTH_RUN_HORIZON = 3
+MONTH_RUN_ITERATIONS = 10
+
+
+@query("forecast_evaluate")
+def forecast_evaluate(spark, sf_dir):
+    """C9 + C10 with fitted models: every family trained for one model month, horizon scored (slot family
+    apportioned from the course forecast), evaluated per month with the family's verdict."""
+    from ..functions.periods import ahead_n
+    from ..plans import monthly, slot
+    from ..session import cut_lineage
+    dm = drv.dims(spark)
+    full = drv.regular(spark, sf_dir, dm, include_seasonal=True)
+    reg = full.where(F.col("FLAG_ESTACIONAL") == 0)
+    feats = {first_level.FAMILY: cut_lineage(first_level.features(reg, dm, drv.TARGET_RANGE, P)),
+             continuing.FAMILY: cut_lineage(continuing.features(full, dm, drv.TARGET_RANGE, P)),
+             slot.FAMILY: cut_lineage(slot.features(full, dm, drv.TARGET_RANGE, P))}
+    targets = {first_level.FAMILY: first_level.targets(reg, drv.TARGET_RANGE, P),
+               continuing.FAMILY: continuing.targets(full, P),
+               slot.FAMILY: slot.targets(full, P)}
+    months = ahead_n(MONTH_RUN, MONTH_RUN_HORIZON)
+    res = monthly.run_month(feats, targets, MONTH_RUN, months, P, max_iter=MONTH_RUN_ITERATIONS)
+    frames = [res[f][1] for f in (first_level.FAMILY, continuing.FAMILY, slot.FAMILY)]
+    out = frames[0]
+    for fr in frames[1:]:
+        out = out.unionByName(fr)
+    return out

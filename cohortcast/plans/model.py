@@ -70,10 +70,10 @@ def fit(train: DataFrame, spec: Spec, **kw) -> PipelineModel:
 
 
 def score(model: PipelineModel, test: DataFrame, spec: Spec) -> DataFrame:
-    return model.transform(prepare(test, spec) if spec.target in test.columns else
-                           test.select(*[c for c in test.columns if c not in spec.numeric],
-                                       *[F.coalesce(F.col(c).cast("double"), F.lit(-1.0)).alias(c)
-                                         for c in spec.numeric]))
+    """Every test row is scored (rows whose label is undefined are kept; only training drops them)."""
+    x = test.select(*[c for c in test.columns if c not in spec.numeric],
+                    *[F.coalesce(F.col(c).cast("double"), F.lit(-1.0)).alias(c) for c in spec.numeric])
+    return model.transform(x)
 
 
 def save(model: PipelineModel, root: str, family: str, version: str, model_period: int) -> str:
