@@ -78,6 +78,9 @@ def anterior(cand: DataFrame, full: DataFrame) -> DataFrame:
     """J8 + A7: predecessor totals of the base month, re-aggregated to the successor."""
     tot = course_totals(full).withColumnRenamed("CURSO_ACTUAL", "CURSO_ANTERIOR")
     x = cand.join(tot, ["PERIODO", "SEDE", "CURSO_ANTERIOR"], "left")
+    # partition on the successor course key: the roll-in aggregate (keys are a superset) and the
+    # later joins on (target, site, course) all reuse it; a group is one course in one month
+    x = x.repartition(*COURSE_KEYS)
     return x.groupBy(*ANTERIOR_KEYS).agg(
         F.sum(F.coalesce("CANT_CLASES", F.lit(0))).cast("double").alias("CANT_CLASES_ANTERIOR"),
         F.sum(F.coalesce("CANT_ALUMNOS", F.lit(0))).cast("double").alias("CANT_ALUMNOS_ANTERIOR"))
@@ -105,9 +108,9 @@ def features(full: DataFrame, dims: Dims, target_range: tuple[int, int], params:
     lag12 = tot.select(F.col("PERIODO").alias("PERIODO_LAG_12"), "SEDE", "CURSO_ACTUAL",
                        F.col("CANT_CLASES").cast("double").alias("CANT_CLASES_LAG_12"),
                        F.col("CANT_ALUMNOS").cast("double").alias("CANT_ALUMNOS_LAG_12"))
-    f = f.join(lag12, ["PERIODO_LAG_12", "SEDE", "CURSO_ACTUAL"], "left")
+    f = f.join(tgt, COURSE_KEYS, "left")          # co-partitioned with the roll-in
     f = f.join(sply, COURSE_KEYS, "left")
-    f = f.join(tgt, COURSE_KEYS, "left")
+    f = f.join(lag12, ["PERIODO_LAG_12", "SEDE", "CURSO_ACTUAL"], "left")
     f = f.select(*ANTERIOR_KEYS, "CANT_CLASES_ANTERIOR", "CANT_ALUMNOS_ANTERIOR",
                  *[F.coalesce(c, F.lit(0.0)).alias(c) for c in
                    ("CANT_CLASES_LAG_12", "CANT_ALUMNOS_LAG_12", "DIFF_ALUMNOS_SPLY", "PCT_ALUMNOS_SPLY",
