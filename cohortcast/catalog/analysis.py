@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..functions.periods import month_of, shift
+from ..functions.periods import shift
 from ..operators import clean, rollup, shares
 from ..plans import analysis, continuing, evaluate, first_level, forecast, model
 from ..session import ensure_checkpoint_dir

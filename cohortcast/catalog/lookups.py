@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import periods as per
-from ..functions.scalars import growth, program_group
+from ..functions.scalars import growth
 from ..operators import clean, enrich, lags, rollup
 from ..operators.enrich import SUCC
 from ..plans import continuing, first_level, slot
 from ..sources import driver as drv
-from .families import (_continuing_sql, _dims_sql, _first_level_sql, _growth_sql, _level_sql, _march_sql,
-                       _not_blackout, _prog_sql, _slot_sql)
-from .registry import in_list, months_sql, ord_sql, query, shift_sql
+from .families import (_continuing_sql, _dims_sql, _first_level_sql, _level_sql, _march_sql, _not_blackout,
+                       _prog_sql, _slot_sql)
+from .registry import in_list, ord_sql, query, shift_sql
 
 P = drv.PARAMS
 LO, HI = drv.TARGET_RANGE

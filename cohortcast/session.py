@@ -22,6 +22,24 @@ SCALE_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, target_partition_mb: int = 128) -> dict[str, str]:
+    """Settings for a large cluster: shuffle width from the core count, AQE sizing the partitions.
+
+    ``spark.sql.shuffle.partitions`` is an upper bound that AQE coalesces down to
+    ``target_partition_mb`` per partition; scans split files at the same size; skewed
+    partitions (five times the median and over 256 MB) are split by AQE.
+    """
+    return {
+        **SCALE_CONF,
+        "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+    }
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "cohortcast") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")

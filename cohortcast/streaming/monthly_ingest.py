@@ -26,8 +26,9 @@ def _latest_file_per_month(batch: DataFrame) -> DataFrame:
     """A month re-sent within one batch: keep the rows of its newest file only."""
     b = batch.withColumn("_FILE", F.col("_metadata.file_path")).withColumn(
         "_MTIME", F.col("_metadata.file_modification_time"))
+    # one row per month present in the batch: broadcast, so a month's rows never meet in one reducer
     newest = b.groupBy("PERIODO").agg(F.max(F.struct("_MTIME", "_FILE")).alias("_N"))
-    return (b.join(newest, "PERIODO")
+    return (b.join(F.broadcast(newest), "PERIODO")
              .where((F.col("_MTIME") == F.col("_N._MTIME")) & (F.col("_FILE") == F.col("_N._FILE")))
              .drop("_FILE", "_MTIME", "_N"))
 
