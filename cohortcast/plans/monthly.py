@@ -20,6 +20,7 @@ from .continuing import FAMILY as COURSE
 from .first_level import FAMILY as FIRST
 from .slot import FAMILY as SLOT
 
+GATED = (FIRST, SLOT)
 KEYS = {FIRST: ["PERIODO_TARGET", "SEDE", "CURSO_ACTUAL", "HORARIO_ACTUAL"],
         COURSE: ["PERIODO_TARGET", "SEDE", "CURSO_ACTUAL"],
         SLOT: ["PERIODO_TARGET", "SEDE", "CURSO_ACTUAL", "HORARIO_ACTUAL"]}
@@ -63,7 +64,10 @@ def evaluate_family(predicted: DataFrame, targets: DataFrame, family: str, month
     ev = evaluate.join_target(predicted.select(*cols), tgt, keys)
     per_month = evaluate.metrics(ev, ["PERIODO_TARGET"]).withColumn("TIPO", F.lit(family))
     mean = evaluate.mean_score(evaluate.monthly_scores(ev), ()).withColumn("TIPO", F.lit(family))
-    return ev, per_month.join(evaluate.verdict(mean, params), "TIPO", "left")
+    judged = evaluate.verdict(mean, params)
+    if family not in GATED:                    # the course family is written and scored, never gated
+        judged = judged.withColumn("verdict", F.lit(None).cast("string"))
+    return ev, per_month.join(judged, "TIPO", "left")
 
 
 def run_month(features: dict, targets: dict, model_period: int, months, params: Params = DEFAULT, **gbt) -> dict:

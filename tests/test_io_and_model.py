@@ -105,3 +105,20 @@ def test_gbt_fit_save_load_score(spark):
     assert "prediction" in scored.columns and scored.where(F.col("prediction").isNull()).count() == 0
     rep = model.holdout_report(train, spec, max_iter=3)
     assert rep["rmse"] >= 0
+
+
+def test_verdict_sink_and_csv_passthrough(spark):
+    d = _tmp()
+    v = spark.createDataFrame([("inicial_regular", 0.41, 0.3, "approved")],
+                              "tipo string, score double, threshold double, verdict string")
+    path = sinks.write_verdict(v, d)
+    assert [tuple(r) for r in spark.read.json(path).select("tipo", "verdict").collect()] == [("inicial_regular", "approved")]
+    with open(os.path.join(d, "in.csv"), "w") as f:
+        f.write("a,b\n1,x\n2,y\n3,z\n")
+    n = ingest.csv_passthrough(spark, os.path.join(d, "in.csv"), os.path.join(d, "out"))
+    assert n == 3 and spark.read.option("header", "true").csv(os.path.join(d, "out")).count() == 3
+
+
+def test_seasonal_training_months():
+    from cohortcast.functions import periods as per
+    assert per.seasonal_training_periods(202503, [1, 2, 3]) == [202501, 202502, 202503]
