@@ -121,4 +121,4 @@ def test_verdict_sink_and_csv_passthrough(spark):
 
 def test_seasonal_training_months():
     from cohortcast.functions import periods as per
-    assert per.seasonal_training_periods(202503, [1, 2, 3]) == [202501, 202502, 202503]
+    assert per.seasonal_training_periods(202503, [1, 2, 3]) == [202403, 202501, 202502, 202503]
