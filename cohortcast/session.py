@@ -58,16 +58,23 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "coh
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the configured checkpoint folder; create a scratch one only if unset."""
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    sc_dir = spark.sparkContext.getCheckpointDir()
-    if sc_dir:
-        return sc_dir
+    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Only a local-mode session (tests, bench) without that setting gets a scratch
+    folder of its own; on a cluster a missing setting is an error, never a
+    machine-local folder.
+    """
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         conf_dir = tempfile.mkdtemp(prefix="cohortcast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    spark.sparkContext.setCheckpointDir(conf_dir)
-    return spark.sparkContext.getCheckpointDir() or conf_dir
+    sc.setCheckpointDir(conf_dir)
+    return sc.getCheckpointDir() or conf_dir
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
