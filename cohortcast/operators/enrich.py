@@ -32,14 +32,14 @@ def recode_course(df: DataFrame, dims: Dims, strict: bool = True) -> DataFrame:
     m = dims.small("course_map", dims["course_map"].select(
         F.col("CURSO_ANTERIOR").alias("CODIGO_DE_CURSO"), "CURSO_ACTUAL"))
     out = df.join(m, "CODIGO_DE_CURSO", "left")
-    return out.withColumn("CURSO_ACTUAL", require("CURSO_ACTUAL", "course recode")) if strict else out
+    return out.withColumn("CURSO_ACTUAL", require("CURSO_ACTUAL", "course recode", "CODIGO_DE_CURSO")) if strict else out
 
 
 def recode_slot(df: DataFrame, dims: Dims, strict: bool = True) -> DataFrame:
     """HORARIO -> HORARIO_ACTUAL (left join; must match when strict)."""
     m = dims.small("slots", dims["slots"].select("HORARIO", "HORARIO_ACTUAL"))
     out = df.join(m, "HORARIO", "left")
-    return out.withColumn("HORARIO_ACTUAL", require("HORARIO_ACTUAL", "slot recode")) if strict else out
+    return out.withColumn("HORARIO_ACTUAL", require("HORARIO_ACTUAL", "slot recode", "HORARIO")) if strict else out
 
 
 # ---- J3: course flags -----------------------------------------------------
@@ -57,8 +57,8 @@ def add_flags(df: DataFrame, dims: Dims) -> DataFrame:
     out = (df.join(seasonal, "CURSO_ACTUAL", "left")
              .join(c2, "CURSO_ACTUAL", "left")
              .join(initial, "CURSO_2", "left"))
-    return (out.withColumn("FLAG_ESTACIONAL", require("FLAG_ESTACIONAL", "course flags"))
-               .withColumn("FLAG_INICIAL", F.when(require("CURSO_2", "course level index").isNotNull()
+    return (out.withColumn("FLAG_ESTACIONAL", require("FLAG_ESTACIONAL", "course flags", "CURSO_ACTUAL"))
+               .withColumn("FLAG_INICIAL", F.when(require("CURSO_2", "course level index", "CURSO_ACTUAL").isNotNull()
                                                   & F.col("_INI").isNotNull(), 1).otherwise(0))
                .drop("CURSO_2", "_INI"))
 
@@ -80,8 +80,8 @@ def add_pe(df: DataFrame, dims: Dims, period_col: str = "PERIODO", params: Param
     pe = dims.small("pe", dims["pe"].select(F.col("PERIODO").alias(period_col), "PROGRAMA",
                                             F.col("PE").alias(out)))
     x = (df.join(prog, "CURSO_ACTUAL", "left")
-           .withColumn("PROGRAMA", program_group(require("PROGRAMA", "programme"), params)))
-    return x.join(pe, [period_col, "PROGRAMA"], "left").withColumn(out, require(out, "break-even")).drop("PROGRAMA")
+           .withColumn("PROGRAMA", program_group(require("PROGRAMA", "programme", "CURSO_ACTUAL"), params)))
+    return x.join(pe, [period_col, "PROGRAMA"], "left").withColumn(out, require(out, "break-even", period_col)).drop("PROGRAMA")
 
 
 def add_seats(df: DataFrame, dims: Dims, period_col: str = "PERIODO") -> DataFrame:
@@ -89,9 +89,9 @@ def add_seats(df: DataFrame, dims: Dims, period_col: str = "PERIODO") -> DataFra
     attrs = dims.small("courses", dims["courses"].select("CURSO_ACTUAL", "NIVEL", "LINEA_DE_NEGOCIO"))
     seats = dims.small("seats", dims["seats"].select(F.col("PERIODO").alias(period_col), "NIVEL",
                                                      "LINEA_DE_NEGOCIO", "VAC_ACAD_ESTANDAR"))
-    x = df.join(attrs, "CURSO_ACTUAL", "left").withColumn("NIVEL", require("NIVEL", "level"))
+    x = df.join(attrs, "CURSO_ACTUAL", "left").withColumn("NIVEL", require("NIVEL", "level", "CURSO_ACTUAL"))
     return (x.join(seats, [period_col, "NIVEL", "LINEA_DE_NEGOCIO"], "left")
-             .withColumn("VAC_ACAD_ESTANDAR", require("VAC_ACAD_ESTANDAR", "seats"))
+             .withColumn("VAC_ACAD_ESTANDAR", require("VAC_ACAD_ESTANDAR", "seats", period_col))
              .drop("NIVEL", "LINEA_DE_NEGOCIO"))
 
 
@@ -109,8 +109,8 @@ def within_opening_hours(df: DataFrame, dims: Dims, period_col: str = "PERIODO_T
         F.col("PERIODO").alias(period_col), "SEDE", F.col("HORA_MIN").alias("_SITE_OPEN"),
         F.col("HORA_MAX").alias("_SITE_CLOSE")))
     x = df.join(slot, "HORARIO_ACTUAL", "left").join(site, [period_col, "SEDE"], "left")
-    ok = ((require("_SITE_CLOSE", "site hours") >= require("_SLOT_END", "slot hours"))
-          & (F.col("_SITE_OPEN") <= require("_SLOT_START", "slot hours")))
+    ok = ((require("_SITE_CLOSE", "site hours", "SEDE") >= require("_SLOT_END", "slot hours", "HORARIO_ACTUAL"))
+          & (F.col("_SITE_OPEN") <= require("_SLOT_START", "slot hours", "HORARIO_ACTUAL")))
     return x.where(ok).drop("_SLOT_START", "_SLOT_END", "_SITE_OPEN", "_SITE_CLOSE")
 
 
@@ -120,7 +120,7 @@ def add_categoricals(df: DataFrame, dims: Dims, cols=("NIVEL", "CURSO_2", "FRECU
                      with_level_split: bool = True) -> DataFrame:
     """J12 (+ X3): course attributes as model categoricals, LEVEL / IDX_CURSO from CURSO_2."""
     attrs = dims.small("courses", dims["courses"].select("CURSO_ACTUAL", *cols))
-    out = df.join(attrs, "CURSO_ACTUAL", "left").withColumn(cols[0], require(cols[0], "course attributes"))
+    out = df.join(attrs, "CURSO_ACTUAL", "left").withColumn(cols[0], require(cols[0], "course attributes", "CURSO_ACTUAL"))
     if with_level_split:
         out = out.withColumn("LEVEL", level_of("CURSO_2")).withColumn("IDX_CURSO", course_index_of("CURSO_2"))
     return out

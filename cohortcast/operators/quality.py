@@ -12,10 +12,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def require(col: str, what: str | None = None) -> Column:
-    """Q1 strict: the column itself, failing the task when a value is null."""
+def require(col: str, what: str | None = None, key: str | None = None) -> Column:
+    """Q1 strict: the column itself, failing the task when a value is null.
+
+    ``key`` names the lookup key of the row; the error message carries its value,
+    and -- just as important -- the check then references a column of the row.
+    When the lookup table is known to be empty the join becomes null literals;
+    a check without any column reference could then be moved by the optimizer
+    onto rows that an earlier filter removes.
+    """
     msg = f"lookup failed: null {what or col}"
-    return F.coalesce(F.col(col), F.raise_error(F.lit(msg)))
+    if key is None:
+        return F.coalesce(F.col(col), F.raise_error(F.lit(msg)))
+    detail = F.concat(F.lit(f"{msg} for {key.strip('`')}="), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+    return F.coalesce(F.col(col), F.raise_error(detail))
 
 
 def require_columns(df: DataFrame, cols, what: str = "") -> DataFrame:

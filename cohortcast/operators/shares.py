@@ -105,7 +105,7 @@ def apportion(forecast_fac: DataFrame, forecast_cant: DataFrame) -> DataFrame:
     cant = (forecast_cant.where(F.col("CANT_ALUMNOS_PREDICT") >= F.col("PE"))
                          .select(*COURSE_KEY, "CANT_ALUMNOS_PREDICT"))
     j = cant.join(fac, COURSE_KEY, "left").withColumn(
-        "FAC_ALUMNOS_PREDICT", require("FAC_ALUMNOS_PREDICT", "slot share for course forecast"))
+        "FAC_ALUMNOS_PREDICT", require("FAC_ALUMNOS_PREDICT", "slot share for course forecast", "CURSO_ACTUAL"))
     x = apportion_basic(j)
     x = reallocate_below_minimum(x)
     return x.drop("CANT_ALUMNOS_PREDICT").withColumnRenamed("CANT_ALUMNOS", "CANT_ALUMNOS_PREDICT")

@@ -36,7 +36,7 @@ def base_rows(full: DataFrame, dims: Dims, target_range: tuple[int, int], params
              .when(F.col("DURACION") == params.bimonthly, 2))
     lo, hi = target_range
     return (full.join(attrs, "CURSO_ACTUAL", "left")
-                .withColumn("NIVEL", require("NIVEL", "course attributes"))
+                .withColumn("NIVEL", require("NIVEL", "course attributes", "CURSO_ACTUAL"))
                 .withColumn("PERIODO_TARGET", ord_period(period_ord("PERIODO") + step))
                 .where(F.col("PERIODO_TARGET").between(lo, hi)))
 
@@ -62,7 +62,7 @@ def candidates(full: DataFrame, dims: Dims, target_range: tuple[int, int], param
     seasonal = (b.where((F.col("FLAG_ESTACIONAL") == 1) & march)
                  .select("PERIODO_TARGET", "PERIODO", "SEDE", "CURSO_ACTUAL")
                  .join(smap, "CURSO_ACTUAL", "left")
-                 .withColumn(SUCC, require(f"`{SUCC}`", "seasonal successor"))
+                 .withColumn(SUCC, require(f"`{SUCC}`", "seasonal successor", "CURSO_ACTUAL"))
                  .select("PERIODO_TARGET", "PERIODO", "SEDE", "CURSO_ACTUAL", F.col(f"`{SUCC}`")).distinct())
     return finish_candidates(regular.unionByName(seasonal), dims, params).select(*CANDIDATE_COLUMNS)
 

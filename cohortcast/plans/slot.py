@@ -40,7 +40,7 @@ def slot_catalogue(full: DataFrame, dims: Dims, params: Params = DEFAULT) -> Dat
     """F18 / J10 input: first month each (site, slot, frequency, intensity, programme) was seen."""
     attrs = enrich.course_attributes(dims, ["FRECUENCIA", "INTENSIDAD", "PROGRAMA"])
     return (full.join(attrs, "CURSO_ACTUAL", "left")
-                .withColumn("PROGRAMA", program_group(require("PROGRAMA", "programme"), params))
+                .withColumn("PROGRAMA", program_group(require("PROGRAMA", "programme", "CURSO_ACTUAL"), params))
                 .groupBy("SEDE", "HORARIO_ACTUAL", "FRECUENCIA", "INTENSIDAD", "PROGRAMA")
                 .agg(F.min("PERIODO").alias("FIRST_SEEN")))
 
@@ -54,14 +54,14 @@ def candidates(full: DataFrame, dims: Dims, target_range: tuple[int, int], param
             .select("PERIODO_TARGET", "PERIODO", "SEDE", "CURSO_ACTUAL", _q(SUCC)).distinct())
     succ_attrs = enrich.course_attributes(dims, ["FRECUENCIA", "INTENSIDAD", "PROGRAMA", "NIVEL"], rename=SUCC)
     reg = (reg.join(succ_attrs, SUCC, "left")
-              .withColumn("PROGRAMA", program_group(require("PROGRAMA", "successor programme"), params)))
+              .withColumn("PROGRAMA", program_group(require("PROGRAMA", "successor programme", f"`{SUCC}`"), params)))
     cat = slot_catalogue(full, dims, params).select(
         F.col("SEDE").alias("_S"), F.col("FRECUENCIA").alias("_F"), F.col("INTENSIDAD").alias("_I"),
         F.col("PROGRAMA").alias("_P"), "HORARIO_ACTUAL", "FIRST_SEEN")
     cond = ((reg["SEDE"] == cat["_S"]) & (reg["FRECUENCIA"] == cat["_F"]) & (reg["INTENSIDAD"] == cat["_I"])
             & (reg["PROGRAMA"] == cat["_P"]) & (cat["FIRST_SEEN"] < reg["PERIODO_TARGET"]))
     reg = (reg.join(cat, cond, "left")
-              .withColumn("HORARIO_ACTUAL", require("HORARIO_ACTUAL", "historical slot"))
+              .withColumn("HORARIO_ACTUAL", require("HORARIO_ACTUAL", "historical slot", "SEDE"))
               .withColumn(SLOT_SUCC, F.col("HORARIO_ACTUAL"))
               .where(~(march & clean.march_excluded("NIVEL", "FRECUENCIA", "HORARIO_ACTUAL", params)))
               .select(*[_q(c) for c in SIX]).distinct())
@@ -72,7 +72,7 @@ def candidates(full: DataFrame, dims: Dims, target_range: tuple[int, int], param
     sea = (b.where((F.col("FLAG_ESTACIONAL") == 1) & march)
             .select("PERIODO_TARGET", "PERIODO", "SEDE", "CURSO_ACTUAL", "HORARIO_ACTUAL")
             .join(cmap, "CURSO_ACTUAL", "left")
-            .withColumn(SUCC, require(f"`{SUCC}`", "seasonal successor"))
+            .withColumn(SUCC, require(f"`{SUCC}`", "seasonal successor", "CURSO_ACTUAL"))
             .join(hmap, "HORARIO_ACTUAL", "left")
             .select(*[_q(c) for c in SIX]).distinct())
 

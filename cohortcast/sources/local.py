@@ -48,5 +48,13 @@ def values_sql(rows, schema: str, quote: str = '"') -> str:
 
 
 def local_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
-    """A constant frame as a JVM local relation."""
-    return spark.sql(values_sql(list(rows), schema, quote="`"))
+    """A constant frame as a JVM local relation.
+
+    An empty table is not given to the planner as a provably empty relation:
+    the optimizer would replace lookups against it by null literals and could
+    then move the lookup checks onto rows that a branch filter removes.
+    """
+    rows = list(rows)
+    if not rows:
+        return spark.createDataFrame([], schema)
+    return spark.sql(values_sql(rows, schema, quote="`"))
