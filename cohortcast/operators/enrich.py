@@ -57,9 +57,11 @@ def add_flags(df: DataFrame, dims: Dims) -> DataFrame:
     out = (df.join(seasonal, "CURSO_ACTUAL", "left")
              .join(c2, "CURSO_ACTUAL", "left")
              .join(initial, "CURSO_2", "left"))
-    return (out.withColumn("FLAG_ESTACIONAL", require("FLAG_ESTACIONAL", "course flags", "CURSO_ACTUAL"))
-               .withColumn("FLAG_INICIAL", F.when(require("CURSO_2", "course level index", "CURSO_ACTUAL").isNotNull()
-                                                  & F.col("_INI").isNotNull(), 1).otherwise(0))
+    # both checks ride on FLAG_INICIAL as well, so they survive even when a caller drops the flags
+    flag_ok = require("FLAG_ESTACIONAL", "course flags", "CURSO_ACTUAL").isNotNull()
+    return (out.withColumn("FLAG_INICIAL", F.when(flag_ok & require("CURSO_2", "course level index", "CURSO_ACTUAL")
+                                                  .isNotNull() & F.col("_INI").isNotNull(), 1).otherwise(0))
+               .withColumn("FLAG_ESTACIONAL", require("FLAG_ESTACIONAL", "course flags", "CURSO_ACTUAL"))
                .drop("CURSO_2", "_INI"))
 
 

@@ -77,3 +77,13 @@ def test_null_keys_dropped_by_platinum_kept_by_union(spark):
     synth = local_frame(spark, [(202401, None, "C", "h1", 1, 3)], CELL)
     u = {r.SEDE: (r.CANT_CLASES, r.CANT_ALUMNOS) for r in rollup.union_rollup(cells, synth).collect()}
     assert u == {None: (3, 11), "S": (1, 5)}
+
+
+def test_missing_successor_flags_fail_the_run(spark):
+    import pytest
+    dm, full = _dims(spark), _full(spark)
+    broken = Dims(dict(dm.tables, course_map=local_frame(spark, [("A", "A", 0), ("B", "B", 0)],
+                                                          "CURSO_ANTERIOR string, CURSO_ACTUAL string, "
+                                                          "FLAG_ESTACIONAL int")))
+    with pytest.raises(Exception, match="course flags for _SUCC=C"):
+        continuing.candidates(full, broken, (M, M), DEFAULT).collect()
