@@ -62,7 +62,8 @@ grid AS (SELECT k.SEDE, k.CURSO_ACTUAL, k.HORARIO_ACTUAL, m.PERIODO, CAST(COALES
            FROM keys k CROSS JOIN months m
            LEFT JOIN c ON c.SEDE = k.SEDE AND c.CURSO_ACTUAL = k.CURSO_ACTUAL AND c.HORARIO_ACTUAL = k.HORARIO_ACTUAL
                       AND c.PERIODO = m.PERIODO)
-SELECT a.PERIODO AS M1, b.PERIODO AS M2, CASE WHEN a.PERIODO = b.PERIODO THEN 1.0 ELSE corr(a.V, b.V) END AS CORR
+SELECT a.PERIODO AS M1, b.PERIODO AS M2,
+       round(CASE WHEN a.PERIODO = b.PERIODO THEN CAST(1 AS DOUBLE) ELSE corr(a.V, b.V) END, 6) AS CORR
   FROM grid a JOIN grid b ON a.SEDE = b.SEDE AND a.CURSO_ACTUAL = b.CURSO_ACTUAL AND a.HORARIO_ACTUAL = b.HORARIO_ACTUAL
  GROUP BY a.PERIODO, b.PERIODO"""
 
@@ -72,7 +73,8 @@ def month_correlation(spark, sf_dir):
     """Pearson correlation of students between every pair of months over cell keys (MLlib Correlation)."""
     cells = _cells(spark, sf_dir)
     months = sorted(r[0] for r in cells.select("PERIODO").distinct().collect())   # bounded: calendar months
-    return analysis.month_correlation(cells, ["SEDE", "CURSO_ACTUAL", "HORARIO_ACTUAL"], months)
+    corr = analysis.month_correlation(cells, ["SEDE", "CURSO_ACTUAL", "HORARIO_ACTUAL"], months)
+    return corr.withColumn("CORR", F.round("CORR", 6))
 
 
 def _first_sql() -> str:
@@ -107,7 +109,8 @@ c1 AS (SELECT *, {classes_sql('CANT_ALUMNOS_PREDICT', 'VAC_ACAD_ESTANDAR', 'PE')
 c2 AS (SELECT *, {classes_sql('CANT_ALUMNOS_PREDICT', 'VAC_ACAD_ESTANDAR', 'PE')} AS CANT_CLASES_PREDICT FROM fc2),
 ev AS (SELECT 'v1' AS VERSION, * FROM ({join_target_sql('c1', 'fl_tgt')}) a
        UNION ALL SELECT 'v2' AS VERSION, * FROM ({join_target_sql('c2', 'fl_tgt')}) b)
-SELECT VERSION, AVG(CASE WHEN CANT_CLASES = CANT_CLASES_PREDICT THEN 1.0 ELSE 0.0 END) AS MATCH,
+SELECT VERSION, round(AVG(CASE WHEN CANT_CLASES = CANT_CLASES_PREDICT THEN CAST(1 AS DOUBLE)
+                                  ELSE CAST(0 AS DOUBLE) END), 6) AS MATCH,
        COUNT(CANT_CLASES) AS CANT_CLASES
   FROM ev WHERE NOT (CANT_CLASES = 0 AND CANT_CLASES_PREDICT = 0) GROUP BY VERSION"""
 
@@ -121,7 +124,7 @@ def version_match_rate(spark, sf_dir):
         ev = evaluate.join_target(first_level_forecast(spark, sf_dir, ver), tgt, SK).select(*EVAL_COLUMNS)
         ev.write.mode("overwrite").parquet(f"{root}/data_evaluation_{ver}_{first_level.FAMILY}.parquet")
     back = ingest.with_file_version(spark.read.parquet(f"{root}/*.parquet"))
-    return analysis.match_rate_by_version(back)
+    return analysis.match_rate_by_version(back).withColumn("MATCH", F.round("MATCH", 6))
 
 
 def _overflow_sql() -> str:

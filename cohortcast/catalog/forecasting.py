@@ -264,7 +264,7 @@ METRIC_SQL = """
          SUM(CASE WHEN NOT (CANT_CLASES_PREDICT = 0 AND CANT_CLASES = 0)
                   THEN greatest(CANT_CLASES_PREDICT - CANT_CLASES, 0.0) END) AS sobrante,
          AVG(CASE WHEN NOT (CANT_CLASES_PREDICT = 0 AND CANT_CLASES = 0)
-                  THEN CASE WHEN CANT_CLASES = CANT_CLASES_PREDICT THEN 1.0 ELSE 0.0 END END) AS precision,
+                  THEN CASE WHEN CANT_CLASES = CANT_CLASES_PREDICT THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END END) AS precision,
          CAST(SUM(CASE WHEN NOT (CANT_CLASES_PREDICT = 0 AND CANT_CLASES = 0) THEN CANT_CLASES END) AS BIGINT)
            AS total_clases,
          CAST(SUM(CASE WHEN NOT (CANT_CLASES_PREDICT = 0 AND CANT_CLASES = 0) THEN CANT_ALUMNOS END) AS BIGINT)
@@ -277,18 +277,22 @@ METRIC_SQL = """
 def _metrics_sql() -> str:
     return "WITH " + slot_forecast_ctes().lstrip() + f""",
 tgt AS {slot_targets_sql()},
-ev AS ({join_target_sql('fc', 'tgt')})
-{METRIC_SQL}"""
+ev AS ({join_target_sql('fc', 'tgt')}),
+m AS ({METRIC_SQL})
+SELECT round(pct_comb, 6) AS pct_comb, total_comb, faltante, sobrante, round(precision, 6) AS precision,
+       total_clases, total_alumnos, total_alumnos_predict FROM m"""
 
 
 @query("metrics_one_row", _metrics_sql)
 def metrics_one_row(spark, sf_dir):
     """A9 + F15 + F16 + X12: the eight forecast metrics of the slot family over every target month."""
-    return evaluate.metrics(slot_evaluation(spark, sf_dir))
+    m = evaluate.metrics(slot_evaluation(spark, sf_dir))
+    return m.withColumn("pct_comb", F.round("pct_comb", 6)).withColumn("precision", F.round("precision", 6))
 
 
 SCORE_SQL = """
-  SELECT PERIODO_TARGET, AVG(CASE WHEN CANT_CLASES = CANT_CLASES_PREDICT THEN 1.0 ELSE 0.0 END) AS score
+  SELECT PERIODO_TARGET,
+         AVG(CASE WHEN CANT_CLASES = CANT_CLASES_PREDICT THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS score
     FROM {ev} WHERE NOT (CANT_CLASES_PREDICT = 0 AND CANT_CLASES = 0) GROUP BY PERIODO_TARGET"""
 
 
@@ -297,7 +301,7 @@ def _monthly_sql() -> str:
 tgt AS {slot_targets_sql()},
 ev AS ({join_target_sql('fc', 'tgt')}),
 ms AS ({SCORE_SQL.format(ev='ev')})
-SELECT PERIODO_TARGET, score, AVG(score) OVER () AS mean_score FROM ms"""
+SELECT PERIODO_TARGET, round(score, 6) AS score, round(AVG(score) OVER (), 6) AS mean_score FROM ms"""
 
 
 @query("monthly_mean_score", _monthly_sql)
@@ -305,7 +309,8 @@ def monthly_mean_score(spark, sf_dir):
     """A10 + A11: exact-match score per month and its unweighted mean over months."""
     ms = evaluate.monthly_scores(slot_evaluation(spark, sf_dir))
     # one row per month: the mean is a window over a horizon-sized frame
-    return ms.withColumn("mean_score", F.avg("score").over(Window.partitionBy(F.lit(1))))
+    out = ms.withColumn("mean_score", F.avg("score").over(Window.partitionBy(F.lit(1))))
+    return out.select("PERIODO_TARGET", F.round("score", 6).alias("score"), F.round("mean_score", 6).alias("mean_score"))
 
 
 def _verdict_sql() -> str:
@@ -346,7 +351,8 @@ rows_ AS (
          COALESCE(MAX(CASE WHEN m.VERSION = 'v1' THEN m.score END), 0.0) AS champion_score,
          COALESCE(MAX(CASE WHEN m.VERSION = 'v2' THEN m.score END), 0.0) AS challenger_score
     FROM fams f LEFT JOIN means m ON m.TIPO = f.TIPO GROUP BY f.TIPO, f.threshold)
-SELECT TIPO, CAST(threshold AS DOUBLE) AS threshold, champion_score, challenger_score,
+SELECT TIPO, CAST(threshold AS DOUBLE) AS threshold, round(champion_score, 6) AS champion_score,
+       round(challenger_score, 6) AS challenger_score,
        CASE WHEN champion_score >= threshold THEN 'approved' ELSE 'rejected' END AS champion_verdict,
        challenger_score > champion_score AS better,
        CASE WHEN MIN(CASE WHEN challenger_score > champion_score THEN 1 ELSE 0 END) OVER () = 1
@@ -376,7 +382,8 @@ def verdict_compare(spark, sf_dir):
     return (cmp_.join(champ, "TIPO", "left")
                 .withColumn("champion_verdict", F.when(F.col("champion_score") >= F.col("threshold"), "approved")
                             .otherwise("rejected"))
-                .select("TIPO", "threshold", "champion_score", "challenger_score", "champion_verdict",
+                .select("TIPO", "threshold", F.round("champion_score", 6).alias("champion_score"),
+                        F.round("challenger_score", 6).alias("challenger_score"), "champion_verdict",
                         "better", "verdict"))
 
 
