@@ -48,7 +48,7 @@ def _first_level_sql() -> str:
         f"AND l{n}.CURSO_ACTUAL = c.CURSO_ACTUAL AND l{n}.HORARIO_ACTUAL = c.HORARIO_ACTUAL" for n in (1, 2, 3, 12))
     return f"""
 WITH {_dims_sql()},
-reg AS {drv.regular_sql()},
+reg AS MATERIALIZED {drv.regular_sql()},
 ini AS (SELECT * FROM reg WHERE FLAG_INICIAL = 1),
 targets AS {months_sql(LO, HI)},
 cand0 AS (
@@ -114,7 +114,7 @@ def _growth_sql(a: str, b: str) -> str:
 def _base_sql(lo: int, hi: int) -> str:
     """Cohort base: every cell with the target month it feeds and its course attributes."""
     return f"""
-full_ AS {drv.regular_sql(include_seasonal=True)},
+full_ AS MATERIALIZED {drv.regular_sql(include_seasonal=True)},
 targets AS {months_sql(lo, hi)},
 base AS (
   SELECT t.PERIODO_TARGET, f.*, co.NIVEL, co.FRECUENCIA, co.DURACION, co."POSTERIOR_(+1)" AS SUCC

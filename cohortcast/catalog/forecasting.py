@@ -166,7 +166,7 @@ fac AS (SELECT PERIODO_TARGET, SEDE, CURSO_ACTUAL, HORARIO_ACTUAL, IDX, PE, VAC_
 
 def slot_targets_sql() -> str:
     from .families import _dims_sql, _not_blackout
-    return f"""(WITH {_dims_sql()}, full_ AS {drv.regular_sql(include_seasonal=True)}
+    return f"""(WITH {_dims_sql()}, full_ AS MATERIALIZED {drv.regular_sql(include_seasonal=True)}
   SELECT PERIODO AS PERIODO_TARGET, SEDE, CURSO_ACTUAL, HORARIO_ACTUAL, CAST(CANT_CLASES AS BIGINT) AS CANT_CLASES,
          CAST(CANT_ALUMNOS AS BIGINT) AS CANT_ALUMNOS
     FROM full_ r WHERE FLAG_ESTACIONAL = 0 AND FLAG_INICIAL = 0 AND PERIODO BETWEEN {LO} AND {HI}
@@ -175,7 +175,7 @@ def slot_targets_sql() -> str:
 
 def first_level_targets_sql() -> str:
     from .families import _dims_sql, _not_blackout
-    return f"""(WITH {_dims_sql()}, reg AS {drv.regular_sql()}
+    return f"""(WITH {_dims_sql()}, reg AS MATERIALIZED {drv.regular_sql()}
   SELECT PERIODO AS PERIODO_TARGET, SEDE, CURSO_ACTUAL, HORARIO_ACTUAL, CAST(CANT_CLASES AS BIGINT) AS CANT_CLASES,
          CAST(CANT_ALUMNOS AS BIGINT) AS CANT_ALUMNOS
     FROM reg r WHERE FLAG_INICIAL = 1 AND PERIODO BETWEEN {LO} AND {HI}
