@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..plans import continuing, first_level, slot
+from ..session import cut_lineage
 from ..sources import driver as drv
 from .registry import in_list, months_sql, ord_sql, query, shift_sql
 
@@ -313,4 +314,4 @@ def candidates_slot(spark, sf_dir):
     """C6 + C7: successor courses expanded to historical slots, predecessor shares, lag-12 shares, actuals."""
     dm = drv.dims(spark)
     full = drv.regular(spark, sf_dir, dm, include_seasonal=True)
-    return slot.features(full, dm, drv.TARGET_RANGE, P)
+    return slot.features(full, dm, drv.TARGET_RANGE, P, materialize=cut_lineage)

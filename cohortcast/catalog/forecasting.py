@@ -59,7 +59,7 @@ def family_features(spark, sf_dir, family: str) -> DataFrame:
         if family == "continuing":
             f = continuing.features(full, dm, drv.TARGET_RANGE, P)
         elif family == "slot":
-            f = slot.features(full, dm, drv.TARGET_RANGE, P)
+            f = slot.features(full, dm, drv.TARGET_RANGE, P, materialize=cut_lineage)
         else:
             f = first_level.features(full.where(F.col("FLAG_ESTACIONAL") == 0), dm, drv.TARGET_RANGE, P)
         _FEATURES[key] = cut_lineage(f)

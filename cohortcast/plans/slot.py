@@ -125,9 +125,15 @@ def anterior_shares(cand: DataFrame, full: DataFrame, dedupe: bool = False) -> D
 
 
 def features(full: DataFrame, dims: Dims, target_range: tuple[int, int], params: Params = DEFAULT,
-             blackout: bool = True, dedupe: bool = False) -> DataFrame:
-    """Slot candidates + predecessor shares + lag-12 shares + actuals and shares + categoricals."""
+             blackout: bool = True, dedupe: bool = False, materialize=None) -> DataFrame:
+    """Slot candidates + predecessor shares + lag-12 shares + actuals and shares + categoricals.
+
+    The candidate table feeds both sides of the totals/shares re-join; ``materialize``
+    (e.g. ``session.cut_lineage``) writes it once instead of planning it twice.
+    """
     cand = candidates(full, dims, target_range, params)
+    if materialize is not None:
+        cand = materialize(cand)
     f = anterior_shares(cand, full, dedupe)
     parent = ["PERIODO", "SEDE", "CURSO_ACTUAL"]
     lag12 = full.select(F.col("PERIODO").alias("PERIODO_LAG_12"), "SEDE", "CURSO_ACTUAL", "HORARIO_ACTUAL",
