@@ -6,14 +6,16 @@ class (it only sets the order, so its errors cost time and never a link).  Two s
 a shingle within their first ``n - ceil(0.75 n) + 1``; such prefixes are dealt out by shingle.  Within a group of
 sets that share a prefix shingle every set is first compared with one hub; sets that end in different components are
 then compared pair by pair, so a group of near copies costs one comparison each and no link between components is
-missed.  A comparison puts the sets of a hub, in blocks, into a trie (sets in lexicographic order, each
+missed.  Pairs whose bitmap signatures already prove too many shingles of one set to be missing in the other are
+left out.  A comparison puts the sets of a hub, in blocks, into a trie (sets in lexicographic order, each
 entering below the prefix that it shares with the one before), walks it once with the hub's set carrying
 the partial overlap of the shared path, and leaves a subtree as soon as the overlap so far plus what remains of
 either set cannot reach the needed overlap.
 
 Edge cases: null or wordless texts have an empty set, link with nothing and form their own class; texts of one to
 four words have one shingle (the whole sequence); identical sets are one node (repeated rows and copies join
-through it); repeated doc_ids count as one document with the smallest set hash; rows of null doc_id are kept out of
+through it); rows that repeat a doc_id are one document (of texts that differ, that with the smallest set hash
+counts); rows of null doc_id are kept out of
 the join and returned as their own class (null); further columns are ignored; an empty table gives no rows.
 """
 
@@ -63,6 +65,33 @@ def shingle_sets(texts) -> list[np.ndarray]:
     return out
 
 
+def signature(x: np.ndarray) -> bytes:
+    """A bitmap of the set: 2 to 4 bits a shingle, by the low bits of its hash."""
+    bits = 64
+    while bits < 2 * len(x):
+        bits *= 2
+    flags = np.zeros(bits, np.uint8)
+    flags[(x & U64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(flags).tobytes()
+
+
+def may_link(n: int, m: int, x: bytes, y: bytes) -> bool:
+    """False only if the signatures prove the Jaccard similarity of sets of n and m to be under 0.75: each bit that
+    one has alone is a shingle that the other lacks."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    size = min(len(a), len(b))
+    a = np.bitwise_or.reduce(a.reshape(-1, size), axis=0)
+    b = np.bitwise_or.reduce(b.reshape(-1, size), axis=0)
+    most = min(n - int(np.bitwise_count(a & ~b).sum()), m - int(np.bitwise_count(b & ~a).sum()))
+    return 7 * most >= 3 * (n + m)
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = [may_link(*row) for row in zip(*(batch.column(i).to_pylist() for i in range(2, 6)))]
+        yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
+
+
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(1 << SKETCH_BITS, np.uint32)
     for batch in batches:
@@ -76,13 +105,14 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = len(sets)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]),
-                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], ["doc_id", "n", "d1", "d2", "block", "counts"])
+                 pa.nulls(n, pa.int32()), pa.array([signature(x) for x in sets], pa.binary())],
+                ["doc_id", "n", "d1", "d2", "block", "bits"])
     rows = [(i, x.tobytes()) for i, x in enumerate(np.split(counts, BLOCKS)) if x.any()]
     n = len(rows)
     yield pa.RecordBatch.from_arrays(
         [pa.nulls(n, pa.int64())] * 4 + [pa.array([r[0] for r in rows], pa.int32()),
                                          pa.array([r[1] for r in rows], pa.binary())],
-        ["doc_id", "n", "d1", "d2", "block", "counts"])
+        ["doc_id", "n", "d1", "d2", "block", "bits"])
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,9 +253,9 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if held:
                     yield flush(now[0], probe, held)
                 now, probe, held = (a, block), None, []
-            if first == 0:
+            if first == 0 and probe is None:
                 probe = np.frombuffer(s, ">u8").astype(U64)
-            else:
+            elif first:
                 held.append((i, s))
     if held:
         yield flush(now[0], probe, held)
@@ -277,9 +307,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, n_copies (documents with the same set) of every document."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    profile = written(docs.mapInArrow(_profile, "doc_id long, n long, d1 long, d2 long, block int, counts binary"),
+    profile = written(docs.mapInArrow(_profile, "doc_id long, n long, d1 long, d2 long, block int, bits binary"),
                       "profile")
-    classes = spark.sparkContext.broadcast(frequency_classes(profile.where("block is not null").select("block", "counts")))
+    classes = spark.sparkContext.broadcast(frequency_classes(profile.where("block is not null").select("block", F.col("bits").alias("counts"))))
     base = profile.where("block is null").select("doc_id", "n", "d1", "d2")
     one = base.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(
         F.min(F.struct("d1", "d2", "n")).alias("x")).select("doc_id", "x.*")
@@ -296,11 +326,20 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     hub = groups.groupBy("token").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z")
     stars = written(groups.join(hub.select("token", "a"), "token").where("a <> rep")
                     .select("a", F.col("rep").alias("b")).distinct(), "stars")
-    wanted = written(stars.select(F.col("a").alias("doc_id")).unionByName(stars.select(F.col("b").alias("doc_id")))
-                     .distinct(), "wanted")
-    sets = written(join_checked(docs, wanted, "doc_id", "left_semi").mapInArrow(_sets(classes), "id long, s binary")
-                   .dropDuplicates(["id"]), "sets")
-    first = written(verified(stars, sets), "links")
+    signatures = profile.where("block is null and n > 0 and doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(
+        F.min(F.struct("d1", "d2", "n", "bits")).alias("x")).select("id", "x.n", "x.bits")
+
+    def links(pairs: DataFrame) -> DataFrame:
+        """Those of the written pairs (a, b) that are links."""
+        side = lambda c: signatures.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"),
+                                           F.col("bits").alias(f"s{c}"))
+        some = written(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
+                       .mapInArrow(_possible, "a long, b long"), "possible")
+        wanted = written(some.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
+        sets = written(join_checked(docs, wanted, "doc_id", "left_semi").mapInArrow(_sets(classes), "id long, s binary"),
+                       "sets")
+        return written(verified(some, sets), "links")
+    first = links(stars)
     comp = written(components(first), "comp")
 
     placed = groups.join(comp, groups.rep == comp.node, "left").select(
@@ -310,7 +349,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     pairs = (placed.join(mixed.select("token"), "token").select("token", "rep", "comp", "n")
              .repartition(n, "token").sortWithinPartitions("token").mapInArrow(_cross, "a long, b long")
              .distinct().join(stars, ["a", "b"], "left_anti"))
-    second = written(verified(written(pairs, "pairs"), sets), "links")
+    second = links(written(pairs, "pairs"))
     final = components(first.unionByName(second))
     known = member.join(final, member.rep == final.node, "left").select(
         "doc_id", F.coalesce("component", "rep").alias("component"), "n_copies", F.col("n").alias("size"))
