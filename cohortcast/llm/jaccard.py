@@ -35,6 +35,7 @@ K = 5
 SKETCH_BITS = 20          # counters of the ordering sketch; a fixed 4 MB whatever the input
 BLOCKS = 64
 CHUNK = 4 << 20           # bytes of text held at once by a task
+GROUP = 2000              # sets of one prefix shingle that a task compares; larger groups are split into blocks
 _MULT = [U64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                           0xA0761D6478BD642F)]
 
@@ -66,7 +67,8 @@ def shingle_sets(texts) -> list[np.ndarray]:
 
 
 def signature(x: np.ndarray) -> bytes:
-    """A bitmap of the set: 2 to 4 bits a shingle, by the low bits of its hash."""
+    """A bitmap of the set: 2 to 4 bits a shingle, by the low bits of its hash (as whole bytes, the first index the
+    highest bit, so the halves of a longer bitmap fold onto a shorter one)."""
     bits = 64
     while bits < 2 * len(x):
         bits *= 2
@@ -273,34 +275,58 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .mapInArrow(_verify, "a long, b long"))
 
 
+class _Group:
+    """A token's sets in ascending size, with their signatures as matrices by length, as they are and folded once."""
+
+    def __init__(self, rows: list):
+        rows.sort(key=lambda r: (r[6], r[4]))
+        self.block, self.rep, self.comp, self.n = (np.array([r[i] for r in rows], np.int64) for i in (3, 4, 5, 6))
+        self.bits = [np.frombuffer(r[7], np.uint8) for r in rows]
+        self.size = np.array([len(x) for x in self.bits])
+        self.at, self.whole, self.folded = np.zeros(len(rows), np.int64), {}, {}
+        for z in np.unique(self.size).tolist():
+            at = np.flatnonzero(self.size == z)
+            self.at[at] = np.arange(len(at))
+            self.whole[z] = np.stack([self.bits[i] for i in at])
+            self.folded[z] = self.whole[z][:, :z // 2] | self.whole[z][:, z // 2:]
+
+    def partners(self, i: int, apart: bool) -> np.ndarray:
+        """Later rows that may link with row i: by component, size and signature (see may_link)."""
+        end = i + 1 + int(np.searchsorted(self.n[i + 1:], self.n[i] * 4 // 3, "right"))
+        js = i + 1 + np.flatnonzero((self.comp[i + 1:end] != self.comp[i])
+                                    & ((self.block[i + 1:end] != self.block[i]) | (not apart)))
+        out = []
+        for z, of in ((self.size[i], self.whole), (2 * self.size[i], self.folded)):
+            own = js[self.size[js] == z]
+            for k in range(0, len(own), 4096):
+                y, x = of[int(z)][self.at[own[k:k + 4096]]], self.bits[i]
+                m = self.n[own[k:k + 4096]]
+                most = np.minimum(self.n[i] - np.bitwise_count(x & ~y).sum(1, dtype=np.int64),
+                                  m - np.bitwise_count(y & ~x).sum(1, dtype=np.int64))
+                out.append(own[k:k + 4096][7 * most >= 3 * (self.n[i] + m)])
+        return np.concatenate(out) if out else js[:0]
+
+
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one token's sets that are in different components and whose sizes allow a link, once per part."""
+    """Rows (token, i, j, block, rep, comp, n, bits) sorted by the first three: the pairs of different components that
+    sizes and signatures don't exclude."""
     def flush(rows):
-        out = []
-        rep, comp, n = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
-        order = np.argsort(n, kind="stable")
-        rep, comp, n = rep[order], comp[order], n[order]
-        for i in range(len(rep)):
-            j = i + 1 + int(np.searchsorted(n[i + 1:], n[i] * 4 // 3, "right"))
-            js = i + 1 + np.flatnonzero(comp[i + 1:j] != comp[i])
-            if len(js):
-                out.append(np.stack([np.minimum(rep[i], rep[js]), np.maximum(rep[i], rep[js])], 1))
-        return out
-    held: list[np.ndarray] = []
-    size = 0
-    for _, rows in by_part(batches):
-        for x in flush(rows):
-            held.append(x)
-            size += len(x)
-            if size > 200_000:
-                held = [np.unique(np.concatenate(held), axis=0)]
-                size = len(held[0])
-                if size > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(held[0][:, 0]), pa.array(held[0][:, 1])], ["a", "b"])
-                    held, size = [], 0
+        apart = rows[0][1] != rows[0][2]                 # two blocks of a large group: only pairs across them
+        g = _Group(rows)
+        found = [np.stack([np.minimum(g.rep[i], g.rep[js]), np.maximum(g.rep[i], g.rep[js])], 1)
+                 for i in range(len(rows)) if len(js := g.partners(i, apart))]
+        x = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["a", "b"])
+    now, held = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[:3] != now:
+                if held:
+                    yield flush(held)
+                now, held = row[:3], []
+            held.append(row)
     if held:
-        x = np.unique(np.concatenate(held), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["a", "b"])
+        yield flush(held)
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -323,9 +349,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
                      .mapInArrow(_shared, "token long, doc long"), "shared")
     groups = written(shared.join(member.select(F.col("doc_id").alias("doc"), "rep", "n"), "doc")
                      .select("token", "rep", "n").distinct(), "groups")
-    hub = groups.groupBy("token").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z")
-    stars = written(groups.join(hub.select("token", "a"), "token").where("a <> rep")
-                    .select("a", F.col("rep").alias("b")).distinct(), "stars")
+    # a group's hub is its most central set: the one that meets most others, over all its prefix shingles
+    size = groups.groupBy("token").agg(F.count("*").alias("size"))
+    weight = groups.join(size, "token").groupBy("rep").agg(F.sum(F.col("size") - 1).alias("weight")).where("weight > 0")
+    hub = (groups.join(weight, "rep").groupBy("token").agg(F.max(F.struct("weight", (-F.col("rep")).alias("minus"))).alias("x"))
+           .select("token", (-F.col("x.minus")).alias("a")))
+    stars = written(groups.join(hub, "token").where("a <> rep").select("a", F.col("rep").alias("b")).distinct(), "stars")
     signatures = profile.where("block is null and n > 0 and doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(
         F.min(F.struct("d1", "d2", "n", "bits")).alias("x")).select("id", "x.n", "x.bits")
 
@@ -344,11 +373,21 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     placed = groups.join(comp, groups.rep == comp.node, "left").select(
         "token", "rep", F.coalesce("component", "rep").alias("comp"), "n")
-    mixed = placed.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
+    # tokens of several components; those that the very same sets share are looked at once
+    mixed = (placed.groupBy("token").agg(
+        F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("size"),
+        F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64("rep", F.lit(7))).alias("t"))
+        .where("x <> y").groupBy("size", "s", "t").agg(F.min("token").alias("token"))
+        .select("token", F.ceil(F.col("size") / GROUP).cast("int").alias("blocks")))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = (placed.join(mixed.select("token"), "token").select("token", "rep", "comp", "n")
-             .repartition(n, "token").sortWithinPartitions("token").mapInArrow(_cross, "a long, b long")
-             .distinct().join(stars, ["a", "b"], "left_anti"))
+    held = (placed.join(mixed, "token").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+            .join(signatures.select(F.col("id").alias("rep"), "bits"), "rep")
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep",
+                    "comp", "n", "bits"))
+    known = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = (held.repartition(n, "token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(_cross, "a long, b long")
+             .distinct().join(known, ["a", "b"], "left_anti"))
     second = links(written(pairs, "pairs"))
     final = components(first.unionByName(second))
     known = member.join(final, member.rep == final.node, "left").select(
