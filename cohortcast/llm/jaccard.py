@@ -4,8 +4,8 @@ A document's set is its distinct five-word shingles (64-bit hashes of lower-case
 ordered alike, rare shingles first: a merged sketch of counts over the whole corpus gives each shingle a frequency
 class (it only sets the order, so its errors cost time and never a link).  Two sets of Jaccard 0.75 or more share
 a shingle within their first ``n - ceil(0.75 n) + 1``; such prefixes are dealt out by shingle.  Within a group of
-sets that share a prefix shingle every set is first compared with one hub; sets that end in different components are
-then compared pair by pair, so a group of near copies costs one comparison each and no link between components is
+sets that share a prefix shingle every set is first compared with a few hubs; sets that end in different components are then
+compared pair by pair, so a group of near copies costs a few comparisons each and no link between components is
 missed.  Pairs whose bitmap signatures already prove too many shingles of one set to be missing in the other are
 left out.  A comparison puts the sets of a hub, in blocks, into a trie (sets in lexicographic order, each
 entering below the prefix that it shares with the one before), walks it once with the hub's set carrying
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import U64, components, join_checked, mix, partitions, slices, words, written
@@ -35,6 +35,7 @@ K = 5
 SKETCH_BITS = 20          # counters of the ordering sketch; a fixed 4 MB whatever the input
 BLOCKS = 64
 CHUNK = 4 << 20           # bytes of text held at once by a task
+HUBS = 4                  # sets of a group that all its others are compared with first
 GROUP = 2000              # sets of one prefix shingle that a task compares; larger groups are split into blocks
 _MULT = [U64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                           0xA0761D6478BD642F)]
@@ -349,26 +350,35 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
                      .mapInArrow(_shared, "token long, doc long"), "shared")
     groups = written(shared.join(member.select(F.col("doc_id").alias("doc"), "rep", "n"), "doc")
                      .select("token", "rep", "n").distinct(), "groups")
-    # a group's hub is its most central set: the one that meets most others, over all its prefix shingles
+    # a group's hubs are its most central sets: those that meet most others, over all their prefix shingles
     size = groups.groupBy("token").agg(F.count("*").alias("size"))
     weight = groups.join(size, "token").groupBy("rep").agg(F.sum(F.col("size") - 1).alias("weight")).where("weight > 0")
-    hub = (groups.join(weight, "rep").groupBy("token").agg(F.max(F.struct("weight", (-F.col("rep")).alias("minus"))).alias("x"))
-           .select("token", (-F.col("x.minus")).alias("a")))
-    stars = written(groups.join(hub, "token").where("a <> rep").select("a", F.col("rep").alias("b")).distinct(), "stars")
+    central = Window.partitionBy("token").orderBy(F.desc("weight"), "rep")
+    hub = (groups.join(weight, "rep").withColumn("place", F.row_number().over(central)).where(F.col("place") <= HUBS)
+           .select("token", F.col("rep").alias("a")))
+    stars = written(groups.join(hub, "token").where("a <> rep").select("a", F.col("rep").alias("b")).distinct()
+                    .join(weight.select(F.col("rep").alias("a"), F.col("weight").alias("wa")), "a")
+                    .join(weight.select(F.col("rep").alias("b"), F.col("weight").alias("wb")), "b")
+                    .select(F.when(F.struct("wa", -F.col("a")) > F.struct("wb", -F.col("b")), F.struct("a", "b"))
+                            .otherwise(F.struct(F.col("b").alias("a"), F.col("a").alias("b"))).alias("x")).select("x.*")
+                    .distinct(), "stars")
     signatures = profile.where("block is null and n > 0 and doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(
         F.min(F.struct("d1", "d2", "n", "bits")).alias("x")).select("id", "x.n", "x.bits")
 
-    def links(pairs: DataFrame) -> DataFrame:
-        """Those of the written pairs (a, b) that are links."""
+    def possible(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (a, b) that their signatures don't exclude."""
         side = lambda c: signatures.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"),
                                            F.col("bits").alias(f"s{c}"))
-        some = written(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
+        return written(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
                        .mapInArrow(_possible, "a long, b long"), "possible")
+
+    def links(some: DataFrame) -> DataFrame:
+        """Those of the written pairs (a, b) that are links."""
         wanted = written(some.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
         sets = written(join_checked(docs, wanted, "doc_id", "left_semi").mapInArrow(_sets(classes), "id long, s binary"),
                        "sets")
         return written(verified(some, sets), "links")
-    first = links(stars)
+    first = links(possible(stars))
     comp = written(components(first), "comp")
 
     placed = groups.join(comp, groups.rep == comp.node, "left").select(
