@@ -135,7 +135,10 @@ o1 AS (SELECT *, CASE WHEN CANT_CLASES_PREDICT > 0
 o2 AS (SELECT *, CANT_ALUMNOS_PREDICT - NEW_ AS OVER_,
               CASE WHEN CANT_CLASES_PREDICT > 0 AND CANT_ALUMNOS_PREDICT - NEW_ = 0
                    THEN CANT_CLASES_PREDICT * VAC_ACAD_ESTANDAR - NEW_ ELSE 0.0 END AS SPACE_ FROM o1),
-o3 AS (SELECT *, SUM(OVER_) OVER (PARTITION BY PERIODO_TARGET, SEDE)
+o3 AS (SELECT *, greatest(SUM(OVER_) OVER (PARTITION BY PERIODO_TARGET, SEDE)
+                         - SUM(SPACE_) OVER (PARTITION BY PERIODO_TARGET, SEDE), 0.0) AS LEFT_,
+               least(SUM(OVER_) OVER (PARTITION BY PERIODO_TARGET, SEDE),
+                     SUM(SPACE_) OVER (PARTITION BY PERIODO_TARGET, SEDE))
                  * CASE WHEN SUM(SPACE_) OVER (PARTITION BY PERIODO_TARGET, SEDE) <> 0
                         THEN SPACE_ / SUM(SPACE_) OVER (PARTITION BY PERIODO_TARGET, SEDE) END AS AMT FROM o2),
 o4 AS (SELECT *, floor(AMT) AS Q, AMT - floor(AMT) AS R FROM o3),
@@ -146,7 +149,8 @@ o5 AS (SELECT *, round_even(SUM(R) OVER (PARTITION BY PERIODO_TARGET, SEDE), 0)
                                  CANT_CLASES_ANTERIOR DESC NULLS LAST, PE DESC NULLS LAST,
                                  VAC_ACAD_ESTANDAR DESC NULLS LAST, IDX DESC NULLS LAST) AS RNK FROM o4)
 SELECT PERIODO_TARGET, SEDE, CURSO_ACTUAL, HORARIO_ACTUAL, CANT_CLASES_PREDICT,
-       NEW_ + COALESCE(Q + CASE WHEN RNK <= K THEN 1.0 ELSE 0.0 END, 0.0) AS CANT_ALUMNOS_PREDICT
+       NEW_ + COALESCE(Q + CASE WHEN RNK <= K THEN 1.0 ELSE 0.0 END, 0.0) AS CANT_ALUMNOS_PREDICT,
+       LEFT_ AS CANT_ALUMNOS_SIN_CUPO
   FROM o5"""
 
 
@@ -154,8 +158,9 @@ SELECT PERIODO_TARGET, SEDE, CURSO_ACTUAL, HORARIO_ACTUAL, CANT_CLASES_PREDICT,
 def overflow_realloc(spark, sf_dir):
     """Students capped at classes x seats, overflow spread over free seats per (month, site)."""
     fc = slot_forecast(spark, sf_dir)
-    return shares.overflow_reallocation(fc).select(
-        "PERIODO_TARGET", "SEDE", "CURSO_ACTUAL", "HORARIO_ACTUAL", "CANT_CLASES_PREDICT", "CANT_ALUMNOS_PREDICT")
+    return shares.overflow_reallocation(fc, short="report").select(
+        "PERIODO_TARGET", "SEDE", "CURSO_ACTUAL", "HORARIO_ACTUAL", "CANT_CLASES_PREDICT", "CANT_ALUMNOS_PREDICT",
+        "CANT_ALUMNOS_SIN_CUPO")
 
 
 TRAIN_MODEL_MONTH = 200006

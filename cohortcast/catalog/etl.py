@@ -21,12 +21,11 @@ P = drv.PARAMS
 
 def _f1_sql(alias: str = "r") -> str:
     code = f"{alias}.CODIGO_DE_CURSO"
-    pv = f"regexp_matches({code}, '.+[pP][vV]$')"
-    p_ = f"regexp_matches({code}, '.+[pP]$')"
-    hd = f"regexp_matches({code}, '.+[hH][dD]$')"
-    before = f"{alias}.PERIODO < {P.suffix_cutover_period}"
-    return (f"NOT ({alias}.ESTADO = '{P.cancelled_state}' OR {alias}.SEDE = '{P.excluded_site}' OR {hd} "
-            f"OR (({pv} OR {p_}) AND {before}) OR ({pv} AND NOT {before}) OR {alias}.NIVEL = '{P.excluded_level}')")
+    return (f"{alias}.ESTADO <> '{P.cancelled_state}' AND {alias}.SEDE <> '{P.excluded_site}' "
+            f"AND {alias}.NIVEL <> '{P.excluded_level}' "
+            f"AND NOT (length({code}) > 2 AND upper(right({code}, 2)) IN ('HD', 'PV')) "
+            f"AND NOT (length({code}) > 1 AND upper(right({code}, 1)) = 'P' "
+            f"AND {alias}.PERIODO < {P.suffix_cutover_period})")
 
 
 def _f2_sql(alias: str = "r") -> str:

@@ -70,9 +70,8 @@ def slot_forecast(spark, sf_dir, source: str = "FAC_ALUMNOS_ANTERIOR") -> DataFr
     cf = family_features(spark, sf_dir, "continuing")
     sf = family_features(spark, sf_dir, "slot")
     fac = slot_shares(sf, source)
-    # courses the slot family can place (the apportioner itself insists every course has slots)
-    cant = course_forecast(cf).join(fac.select(*CK), CK, "left_semi")
-    return forecast.with_classes(shares.apportion(fac, cant))
+    # a course to be opened that has no slots stops the query (J14's must-match check)
+    return forecast.with_classes(shares.apportion(fac, course_forecast(cf)))
 
 
 def slot_targets_in_range(spark, sf_dir) -> DataFrame:

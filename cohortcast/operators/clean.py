@@ -21,18 +21,26 @@ def _isin(col: str | Column, values) -> Column:
     return F.coalesce(c.isin(list(values)), F.lit(False))
 
 
+# fixed values of F1: course-code endings that never were regular sales, and the one dropped only before the cut-over
+DROPPED_ENDINGS = ("HD", "PV")
+EARLY_DROPPED_ENDING = "P"
+
+
+def _ends_in(code: Column, endings) -> Column:
+    """The code, in any case, ends in one of ``endings`` (all of one length) and has something before it."""
+    size = len(endings[0])
+    return (F.length(code) > size) & F.upper(F.right(code, F.lit(size))).isin(list(endings))
+
+
 def regular_sale_predicate(params: Params = DEFAULT) -> Column:
-    """F1 as a keep-predicate (null means drop, like the pandas mask)."""
+    """F1 as a keep-predicate: no excluded state, site or level, and no dropped ending (null means drop)."""
+    keep = F.lit(True)
+    for column, label in (("ESTADO", params.cancelled_state), ("SEDE", params.excluded_site),
+                          ("NIVEL", params.excluded_level)):
+        keep = keep & (F.col(column) != label)
     code = F.col("CODIGO_DE_CURSO")
-    cancelled = F.col("ESTADO") == params.cancelled_state
-    excluded_site = F.col("SEDE") == params.excluded_site
-    corporate = F.col("NIVEL") == params.excluded_level
-    ends_pv = code.rlike(".+[pP][vV]$")
-    ends_p = code.rlike(".+[pP]$")
-    ends_hd = code.rlike(".+[hH][dD]$")
-    before_cutover = F.col("PERIODO") < params.suffix_cutover_period
-    return ~(cancelled | excluded_site | ends_hd | ((ends_pv | ends_p) & before_cutover)
-             | (ends_pv & ~before_cutover) | corporate)
+    early = _ends_in(code, (EARLY_DROPPED_ENDING,)) & (F.col("PERIODO") < params.suffix_cutover_period)
+    return keep & ~_ends_in(code, DROPPED_ENDINGS) & ~early
 
 
 def regular_sale(df: DataFrame, params: Params = DEFAULT) -> DataFrame:

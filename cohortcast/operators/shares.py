@@ -111,12 +111,16 @@ def apportion(forecast_fac: DataFrame, forecast_cant: DataFrame) -> DataFrame:
     return x.drop("CANT_ALUMNOS_PREDICT").withColumnRenamed("CANT_ALUMNOS", "CANT_ALUMNOS_PREDICT")
 
 
-def overflow_reallocation(df: DataFrame, keys=("PERIODO_TARGET", "SEDE")) -> DataFrame:
+def overflow_reallocation(df: DataFrame, keys=("PERIODO_TARGET", "SEDE"), short: str = "raise") -> DataFrame:
     """Cap students at classes x seats, spread the overflow over free seats (largest remainder).
 
-    The legacy rule worked frame-wide; at scale it runs per group ``keys`` so no
-    single task holds the whole frame.
+    The legacy rule worked frame-wide and demanded enough free seats; at scale it runs per group ``keys`` so no
+    single task holds the whole frame, and a group may lack seats where the frame does not.  Such a group stops the
+    query (``short="raise"``), or its seats are filled and the students left over are told in
+    CANT_ALUMNOS_SIN_CUPO, one number per group (``short="report"``): no one is placed above capacity or lost.
     """
+    if short not in ("raise", "report"):
+        raise ValueError(f"short must be raise or report, not {short}")
     keys = list(keys)
     w = Window.partitionBy(*keys)
     cap = F.col("CANT_CLASES_PREDICT") * F.col("VAC_ACAD_ESTANDAR")
@@ -125,7 +129,14 @@ def overflow_reallocation(df: DataFrame, keys=("PERIODO_TARGET", "SEDE")) -> Dat
     x = x.withColumn("_OVER", F.col("CANT_ALUMNOS_PREDICT") - F.col("_NEW"))
     x = x.withColumn("_SPACE", F.when((F.col("CANT_CLASES_PREDICT") > 0) & (F.col("_OVER") == 0),
                                       cap - F.col("_NEW")).otherwise(0.0))
-    x = x.withColumn("_AMT", F.sum("_OVER").over(w) * F.try_divide(F.col("_SPACE"), F.sum("_SPACE").over(w)))
+    x = x.withColumn("_ALL", F.sum("_OVER").over(w)).withColumn("_FREE", F.sum("_SPACE").over(w))
+    left = F.greatest(F.col("_ALL") - F.col("_FREE"), F.lit(0.0))
+    if short == "raise":
+        left = F.when(left > 0, F.raise_error(F.concat(F.lit("W5: free seats don't suffice, students left: "),
+                                                       left.cast("string"))).cast("double")).otherwise(left)
+    x = x.withColumn("CANT_ALUMNOS_SIN_CUPO", left)
+    x = x.withColumn("_AMT", F.least("_ALL", "_FREE") * F.try_divide(F.col("_SPACE"), F.col("_FREE")))
     x = largest_remainder(x, "_AMT", "_ADD", keys, slot="CURSO_ACTUAL")
-    x = x.withColumn("CANT_ALUMNOS_PREDICT", F.col("_NEW") + F.coalesce(F.col("_ADD"), F.lit(0.0)))
-    return x.drop("_NEW", "_OVER", "_SPACE", "_AMT", "_ADD")
+    x = x.withColumn("CANT_ALUMNOS_PREDICT", F.col("_NEW") + F.coalesce(F.col("_ADD"), F.lit(0.0)) +
+                     F.when(F.col("CANT_ALUMNOS_SIN_CUPO") > 0, 0.0).otherwise(0.0))   # keeps the check in the plan
+    return x.drop("_NEW", "_OVER", "_SPACE", "_ALL", "_FREE", "_AMT", "_ADD")

@@ -56,10 +56,19 @@ def monthly_scores(evaluation: DataFrame, group_cols=("PERIODO_TARGET",)) -> Dat
         F.avg(exact_match("CANT_CLASES", "CANT_CLASES_PREDICT").cast("double")).alias("score"))
 
 
-def mean_score(scores: DataFrame, group_cols=()) -> DataFrame:
-    """Unweighted mean of monthly scores (null when there are none)."""
+def mean_score(scores: DataFrame, group_cols=(), months=None, month_col: str = "PERIODO_TARGET") -> DataFrame:
+    """Unweighted mean of monthly scores (null when there are none).
+
+    With the horizon ``months`` given, a month without a score stops the query: an incomplete evaluation has no mean.
+    """
     g = list(group_cols)
-    agg = F.avg("score").alias("score")
+    agg = F.avg("score")
+    if months is not None:
+        want = sorted({int(m) for m in months})
+        have = F.count_distinct(F.when(F.col(month_col).isin(want), F.col(month_col)))
+        agg = F.when(have < len(want), F.raise_error(F.concat(
+            F.lit(f"horizon {want} has months with a score: "), have.cast("string"))).cast("double")).otherwise(agg)
+    agg = agg.alias("score")
     return scores.groupBy(*g).agg(agg) if g else scores.agg(agg)
 
 

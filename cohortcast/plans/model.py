@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,19 +54,29 @@ def prepare(df: DataFrame, spec: Spec) -> DataFrame:
               .where(F.col("label").isNotNull() & ~F.isnan("label")))
 
 
-def build_pipeline(spec: Spec, max_iter: int = 500, max_depth: int = 6, step: float = 0.1,
+def build_pipeline(spec: Spec, indexer: StringIndexerModel, max_iter: int = 500, max_depth: int = 6, step: float = 0.1,
                    min_rows: int = 5, max_bins: int = 64, seed: int = 7) -> Pipeline:
-    """M1: indexers + assembler + GBT (RMSE loss), the production hyper-parameters as defaults."""
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in spec.categorical]
+    """M1: indexers + assembler + GBT (RMSE loss), the production hyper-parameters as defaults.
+
+    There are at least as many bins as any categorical has values, unseen ones included, however many that is.
+    """
+    max_bins = max([max_bins, *(len(labels) + 1 for labels in indexer.labelsArray)])
     asm = VectorAssembler(inputCols=list(spec.numeric) + [f"{c}__idx" for c in spec.categorical],
                           outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
                        stepSize=step, minInstancesPerNode=min_rows, maxBins=max_bins, lossType="squared", seed=seed)
-    return Pipeline(stages=[*idx, asm, gbt])
+    return Pipeline(stages=[indexer, asm, gbt])
+
+
+def fit_prepared(rows: DataFrame, spec: Spec, **kw) -> PipelineModel:
+    """All categoricals are indexed in one pass, then the trees are fitted."""
+    indexer = StringIndexer(inputCols=list(spec.categorical), outputCols=[f"{c}__idx" for c in spec.categorical],
+                            handleInvalid="keep").fit(rows)
+    return build_pipeline(spec, indexer, **kw).fit(rows)
 
 
 def fit(train: DataFrame, spec: Spec, **kw) -> PipelineModel:
-    return build_pipeline(spec, **kw).fit(prepare(train, spec))
+    return fit_prepared(prepare(train, spec), spec, **kw)
 
 
 def score(model: PipelineModel, test: DataFrame, spec: Spec) -> DataFrame:
@@ -90,6 +100,6 @@ def load(root: str, family: str, version: str, model_period: int) -> PipelineMod
 def holdout_report(df: DataFrame, spec: Spec, seed: int = 7, **kw) -> dict:
     """M4: random 80/20 split, RMSE and R^2 on the hold-out."""
     train, test = prepare(df, spec).randomSplit([0.8, 0.2], seed=seed)
-    pred = build_pipeline(spec, **kw).fit(train).transform(test)
+    pred = fit_prepared(train, spec, **kw).transform(test)
     ev = RegressionEvaluator(labelCol="label", predictionCol="prediction")
     return {"rmse": ev.setMetricName("rmse").evaluate(pred), "r2": ev.setMetricName("r2").evaluate(pred)}

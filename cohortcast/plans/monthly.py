@@ -48,9 +48,7 @@ def score_family(fitted, spec, features: DataFrame, family: str, months, params:
     if course_forecast is None:
         raise ValueError("the slot family needs the course family's forecast")
     fac = scored.withColumn("FAC_ALUMNOS_PREDICT", clamp_zero("prediction"))
-    cant = course_forecast.join(fac.select("PERIODO_TARGET", "SEDE", "CURSO_ACTUAL"),
-                                ["PERIODO_TARGET", "SEDE", "CURSO_ACTUAL"], "left_semi")
-    return forecast.with_classes(shares.apportion(fac, cant))
+    return forecast.with_classes(shares.apportion(fac, course_forecast))
 
 
 def evaluate_family(predicted: DataFrame, targets: DataFrame, family: str, months,
@@ -63,7 +61,7 @@ def evaluate_family(predicted: DataFrame, targets: DataFrame, family: str, month
             if c in predicted.columns]
     ev = evaluate.join_target(predicted.select(*cols), tgt, keys)
     per_month = evaluate.metrics(ev, ["PERIODO_TARGET"]).withColumn("TIPO", F.lit(family))
-    mean = evaluate.mean_score(evaluate.monthly_scores(ev), ()).withColumn("TIPO", F.lit(family))
+    mean = evaluate.mean_score(evaluate.monthly_scores(ev), (), months).withColumn("TIPO", F.lit(family))
     judged = evaluate.verdict(mean, params)
     if family not in GATED:                    # the course family is written and scored, never gated
         judged = judged.withColumn("verdict", F.lit(None).cast("string"))

@@ -8,6 +8,8 @@ monthly files.
 
 from __future__ import annotations
 
+import csv
+
 import unicodedata
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,16 +59,27 @@ def cast_to_schema(df: DataFrame, schema: T.StructType, strict: bool = True) ->
     return df.select(*cols)
 
 
+def _below_banner(spark: SparkSession, path: str) -> DataFrame:
+    """CSV sheets with a title line above the header row: each file is one row (a sheet fits a row), whose first two
+    lines, title and header, are left out; the header of one of them names the columns.  A quoted field must not hold
+    a line break."""
+    files = spark.read.text(path, wholetext=True).select(F.split("value", "\\r?\\n").alias("x"))
+    header = files.select(F.get("x", F.lit(1))).first()
+    names = next(csv.reader([header[0]])) if header and header[0] else []
+    if not names:
+        raise ValueError(f"no header row below the banner in {path}")
+    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    lines = files.select(F.explode(F.slice("x", 3, F.greatest(F.size("x") - 2, F.lit(0)))).alias("line"))
+    rows = lines.where(F.trim("line") != "").select(F.from_csv("line", schema).alias("r")).select("r.*")
+    return rows.toDF(*names)
+
+
 def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", skip_banner: bool = False) -> DataFrame:
     """One sheet as CSV (header row, all strings) or Parquet, headers normalised."""
     if fmt == "csv":
         r = spark.read.option("header", "true").option("inferSchema", "false").option("encoding", "UTF-8")
         if skip_banner:
-            # one sheet per call: drop its first line (a title above the header row); sheets are
-            # catalogue-sized, the monthly facts come as Parquet without a banner
-            lines = (spark.read.text(path).rdd.zipWithIndex()
-                     .filter(lambda x: x[1] > 0).map(lambda x: x[0][0]))
-            df = r.csv(lines)
+            df = _below_banner(spark, path)
         else:
             df = r.csv(path)
     else:
@@ -74,9 +87,10 @@ def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", skip_banner: bo
     return normalise_headers(df)
 
 
-def read_classes(spark: SparkSession, root: str, periods=None, fmt: str = "parquet") -> DataFrame:
+def read_classes(spark: SparkSession, root: str, periods=None, fmt: str = "parquet",
+                 skip_banner: bool = False) -> DataFrame:
     """S2 + S3 + S6: the fact layer in one scan, pruned to ``periods`` (absent months simply vanish)."""
-    df = spark.read.parquet(root) if fmt == "parquet" else read_sheet(spark, root, "csv")
+    df = spark.read.parquet(root) if fmt == "parquet" else read_sheet(spark, root, "csv", skip_banner)
     df = cast_to_schema(normalise_headers(df), RAW_CLASS_SCHEMA)
     if periods is not None:
         df = df.where(F.col("PERIODO").isin([int(p) for p in periods]))

@@ -24,7 +24,7 @@ def test_monthly_stream_replaces_only_resent_months(spark):
     landing, root, ckpt = f"{base}/landing", f"{base}/platinum", f"{base}/ckpt"
     dm = drv.dims(spark)
     a, b = 199803, 199804
-    _raw_month(spark, a).write.parquet(f"{landing}/{a}")
+    _raw_month(spark, a).repartition(4).write.parquet(f"{landing}/{a}")        # a month of several files
     _raw_month(spark, b).write.parquet(f"{landing}/{b}")
     q = start_monthly_ingest(spark, landing, root, "v1", dm, ckpt, drv.PARAMS)
     q.awaitTermination()
