@@ -13,6 +13,7 @@ PII_KEY = "registered-query-key"
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: set size, class of near copies, copies of the same set."""
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
@@ -27,10 +28,12 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest integer inner products of every hundredth vector with all others."""
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: predicted language, score, cross-entropy, rejection."""
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(langid.in_training()))
     out = langid.identify(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
@@ -39,10 +42,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: words, words removed, digest of the words kept."""
     return substring.substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per conversation: what is read back from its formatted text."""
     turns = table(spark, sf_dir, "conversations").selectExpr(
         "cast(conv_id as long) conv_id", "cast(turn as long) turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
@@ -78,10 +83,12 @@ SELECT conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_char
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: bytes, bytes and runs removed, digest of the bytes kept."""
     return suffixes.suffix_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: bytes, tokens, whether over the limit."""
     return tokens.token_counts(table(spark, sf_dir, "documents"), tokens.vocabulary(tokens.PIECES))
 
 
@@ -94,6 +101,7 @@ def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per piece: its place in a sequence."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokens.vocabulary(tokens.BYTES))
 
 
