@@ -35,6 +35,8 @@ K = 5
 SKETCH_BITS = 20          # counters of the ordering sketch; a fixed 4 MB whatever the input
 BLOCKS = 64
 CHUNK = 4 << 20           # bytes of text held at once by a task
+ROUGH, FINE = 2, 8        # bits a shingle of the signatures: to drop pairs with hubs (mostly unlike sets), and within
+                          # groups (sets of nearly the same words: with FINE nearly all pairs let through have 0.73)
 HUBS = 4                  # sets of a group that all its others are compared with first
 GROUP = 2000              # sets of one prefix shingle that a task compares; larger groups are split into blocks
 _MULT = [U64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -67,12 +69,11 @@ def shingle_sets(texts) -> list[np.ndarray]:
     return out
 
 
-def signature(x: np.ndarray) -> bytes:
-    """A bitmap of the set: 8 to 16 bits a shingle, by the low bits of its hash (as whole bytes, the first index the
-    highest bit, so the halves of a longer bitmap fold onto a shorter one).  So few bits meet by chance that the pairs
-    it lets through are nearly those of 0.73 or more."""
+def signature(x: np.ndarray, per: int) -> bytes:
+    """A bitmap of the set: ``per`` to twice as many bits a shingle, by the low bits of its hash (as whole bytes, the
+    first index the highest bit, so the halves of a longer bitmap fold onto a shorter one)."""
     bits = 64
-    while bits < 8 * len(x):
+    while bits < per * len(x):
         bits *= 2
     flags = np.zeros(bits, np.uint8)
     flags[(x & U64(bits - 1)).astype(np.int64)] = 1
@@ -109,14 +110,15 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = len(sets)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]),
-                 pa.nulls(n, pa.int32()), pa.array([signature(x) for x in sets], pa.binary())],
-                ["doc_id", "n", "d1", "d2", "block", "bits"])
+                 pa.nulls(n, pa.int32()), *(pa.array([signature(x, per) for x in sets], pa.binary())
+                                            for per in (ROUGH, FINE))],
+                ["doc_id", "n", "d1", "d2", "block", "bits", "fine"])
     rows = [(i, x.tobytes()) for i, x in enumerate(np.split(counts, BLOCKS)) if x.any()]
     n = len(rows)
     yield pa.RecordBatch.from_arrays(
         [pa.nulls(n, pa.int64())] * 4 + [pa.array([r[0] for r in rows], pa.int32()),
-                                         pa.array([r[1] for r in rows], pa.binary())],
-        ["doc_id", "n", "d1", "d2", "block", "bits"])
+                                         pa.array([r[1] for r in rows], pa.binary()), pa.nulls(n, pa.binary())],
+        ["doc_id", "n", "d1", "d2", "block", "bits", "fine"])
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,8 +337,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, n_copies (documents with the same set) of every document."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    profile = written(docs.mapInArrow(_profile, "doc_id long, n long, d1 long, d2 long, block int, bits binary"),
-                      "profile")
+    profile = written(docs.mapInArrow(_profile, "doc_id long, n long, d1 long, d2 long, block int, bits binary, "
+                                      "fine binary"), "profile")
     classes = spark.sparkContext.broadcast(frequency_classes(profile.where("block is not null").select("block", F.col("bits").alias("counts"))))
     base = profile.where("block is null").select("doc_id", "n", "d1", "d2")
     one = base.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(
@@ -363,13 +365,15 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
                     .select(F.when(F.struct("wa", -F.col("a")) > F.struct("wb", -F.col("b")), F.struct("a", "b"))
                             .otherwise(F.struct(F.col("b").alias("a"), F.col("a").alias("b"))).alias("x")).select("x.*")
                     .distinct(), "stars")
-    signatures = profile.where("block is null and n > 0 and doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(
-        F.min(F.struct("d1", "d2", "n", "bits")).alias("x")).select("id", "x.n", "x.bits")
+
+    def signatures(bits: str) -> DataFrame:
+        return profile.where("block is null and n > 0 and doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(
+            F.min(F.struct("d1", "d2", "n", F.col(bits).alias("bits"))).alias("x")).select("id", "x.n", "x.bits")
 
     def possible(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) that their signatures don't exclude."""
-        side = lambda c: signatures.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"),
-                                           F.col("bits").alias(f"s{c}"))
+        side = lambda c: signatures("bits").select(F.col("id").alias(c), F.col("n").alias(f"n{c}"),
+                                                   F.col("bits").alias(f"s{c}"))
         return written(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
                        .mapInArrow(_possible, "a long, b long"), "possible")
 
@@ -392,7 +396,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         .select("token", F.ceil(F.col("size") / GROUP).cast("int").alias("blocks")))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     held = (placed.join(mixed, "token").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-            .join(signatures.select(F.col("id").alias("rep"), "bits"), "rep")
+            .join(signatures("fine").select(F.col("id").alias("rep"), "bits"), "rep")
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep",
                     "comp", "n", "bits"))
