@@ -36,7 +36,7 @@ SKETCH_BITS = 20          # counters of the ordering sketch; a fixed 4 MB whatev
 BLOCKS = 64
 CHUNK = 4 << 20           # bytes of text held at once by a task
 ROUGH, FINE = 2, 8        # bits a shingle of the signatures: to drop pairs with hubs (mostly unlike sets), and within
-                          # groups (sets of nearly the same words: with FINE nearly all pairs let through have 0.73)
+FINE_BITS = 2048          # groups (often sets of nearly the same words); large sets have ROUGH bits a shingle in both
 HUBS = 4                  # sets of a group that all its others are compared with first
 GROUP = 2000              # sets of one prefix shingle that a task compares; larger groups are split into blocks
 _MULT = [U64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -69,11 +69,12 @@ def shingle_sets(texts) -> list[np.ndarray]:
     return out
 
 
-def signature(x: np.ndarray, per: int) -> bytes:
-    """A bitmap of the set: ``per`` to twice as many bits a shingle, by the low bits of its hash (as whole bytes, the
-    first index the highest bit, so the halves of a longer bitmap fold onto a shorter one)."""
-    bits = 64
-    while bits < per * len(x):
+def signature(x: np.ndarray, fine: bool) -> bytes:
+    """A bitmap of the set by the low bits of its hashes: ROUGH to twice as many bits a shingle; if ``fine``, FINE to
+    twice as many in sets of up to FINE_BITS / FINE (as whole bytes, the first index the highest bit, so the halves of
+    a longer bitmap fold onto a shorter one; sizes within 4 / 3 differ by one doubling at most)."""
+    bits, least = 64, max(ROUGH * len(x), min(FINE * len(x), FINE_BITS) if fine else 0)
+    while bits < least:
         bits *= 2
     flags = np.zeros(bits, np.uint8)
     flags[(x & U64(bits - 1)).astype(np.int64)] = 1
@@ -110,8 +111,8 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = len(sets)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]),
-                 pa.nulls(n, pa.int32()), *(pa.array([signature(x, per) for x in sets], pa.binary())
-                                            for per in (ROUGH, FINE))],
+                 pa.nulls(n, pa.int32()), *(pa.array([signature(x, fine) for x in sets], pa.binary())
+                                            for fine in (False, True))],
                 ["doc_id", "n", "d1", "d2", "block", "bits", "fine"])
     rows = [(i, x.tobytes()) for i, x in enumerate(np.split(counts, BLOCKS)) if x.any()]
     n = len(rows)
@@ -354,16 +355,17 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     groups = written(shared.join(member.select(F.col("doc_id").alias("doc"), "rep", "n"), "doc")
                      .select("token", "rep", "n").distinct(), "groups")
     # a group's hubs are its most central sets: those that meet most others, over all their prefix shingles
-    size = groups.groupBy("token").agg(F.count("*").alias("size"))
-    weight = groups.join(size, "token").groupBy("rep").agg(F.sum(F.col("size") - 1).alias("weight")).where("weight > 0")
+    size = groups.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
+    live = groups.join(size, "token")
+    weight = live.groupBy("rep").agg(F.sum(F.col("size") - 1).alias("weight"))
+    live = written(live.join(weight, "rep"), "live")
     central = Window.partitionBy("token").orderBy(F.desc("weight"), "rep")
-    hub = (groups.join(weight, "rep").withColumn("place", F.row_number().over(central)).where(F.col("place") <= HUBS)
-           .select("token", F.col("rep").alias("a")))
-    stars = written(groups.join(hub, "token").where("a <> rep").select("a", F.col("rep").alias("b")).distinct()
-                    .join(weight.select(F.col("rep").alias("a"), F.col("weight").alias("wa")), "a")
-                    .join(weight.select(F.col("rep").alias("b"), F.col("weight").alias("wb")), "b")
-                    .select(F.when(F.struct("wa", -F.col("a")) > F.struct("wb", -F.col("b")), F.struct("a", "b"))
-                            .otherwise(F.struct(F.col("b").alias("a"), F.col("a").alias("b"))).alias("x")).select("x.*")
+    hub = written(live.withColumn("place", F.row_number().over(central)).where(F.col("place") <= HUBS)
+                  .select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("weight").alias("wa")), "hub")
+    stars = written(live.join(hub, "token").where("a <> rep and 4 * least(n, na) >= 3 * greatest(n, na)")
+                    .select(F.when(F.struct("wa", -F.col("a")) > F.struct("weight", -F.col("rep")),
+                                   F.struct("a", F.col("rep").alias("b")))
+                            .otherwise(F.struct(F.col("rep").alias("a"), F.col("a").alias("b"))).alias("x")).select("x.*")
                     .distinct(), "stars")
 
     def signatures(bits: str) -> DataFrame:
@@ -386,7 +388,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     first = links(possible(stars))
     comp = written(components(first), "comp")
 
-    placed = groups.join(comp, groups.rep == comp.node, "left").select(
+    # what is left to compare: sets that are no hub of the group (hubs have met all others), if there are two
+    rest = (live.where(F.col("size") > HUBS + 1).drop("size")
+            .join(hub.select("token", F.col("a").alias("rep")), ["token", "rep"], "left_anti"))
+    placed = rest.join(comp, rest.rep == comp.node, "left").select(
         "token", "rep", F.coalesce("component", "rep").alias("comp"), "n")
     # tokens of several components; those that the very same sets share are looked at once
     mixed = (placed.groupBy("token").agg(
