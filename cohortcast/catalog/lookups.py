@@ -68,6 +68,46 @@ def period_range(spark, sf_dir):
                     per.shift_period("LAST_P", 2).alias("LAST3_MIN"))
 
 
+def _windows_sql() -> str:
+    month = "CAST(q // 12 * 100 + q % 12 + 1 AS INTEGER)"
+    def part(kind, first, last, where="TRUE"):  # noqa: E306
+        return (f"SELECT '{kind}' AS KIND, {month} AS PERIODO FROM "
+                f"(SELECT unnest(generate_series({first}, {last})) AS q FROM x) WHERE {where}")
+    history, training = per.to_ord(P.history_start_period), per.to_ord(P.training_start_period)
+    parts = [part("last", "o - 2", "o"), part("ahead", "o", "o + 4"), part("all", history, "o"),
+             part("training", training, "o"),
+             part("seasonal_training", training, "o", f"q % 12 + 1 IN {in_list(P.seasonal_months)}"),
+             part("selected_n", "o - 11", "o"), part("selected_all", history, "o"),
+             part("horizon", "o", "o + 2"), part("horizon_explicit", "o - 1", "o - 1")]
+    return f"""
+WITH m AS (SELECT PERIODO, CAST(SUM(CANT_CLASES) AS BIGINT) AS N_CLASES FROM {CELLS_SQL} c GROUP BY PERIODO),
+x AS (SELECT {ord_sql('MAX(PERIODO)')} AS o FROM m),
+w AS ({' UNION ALL '.join(parts)})
+SELECT w.KIND, w.PERIODO, COALESCE(m.N_CLASES, 0) AS N_CLASES FROM w LEFT JOIN m ON m.PERIODO = w.PERIODO"""
+
+
+@query("period_windows", _windows_sql)
+def period_windows(spark, sf_dir):
+    """P2-P7 + P9: the classes of every month of each window that ends (or starts) at the last month with data."""
+    m = (_cells(spark, sf_dir).groupBy("PERIODO").agg(F.sum("CANT_CLASES").cast("long").alias("N_CLASES")))
+    last = m.agg(F.max("PERIODO")).first()[0]
+    if last is None:
+        return m.select(F.lit("").alias("KIND"), "PERIODO", "N_CLASES")
+    windows = {"last": per.last_n(last, 3), "ahead": per.ahead_n(last, 5), "all": per.all_periods(last, P),
+               "training": per.training_periods(last, P),
+               "seasonal_training": per.seasonal_training_periods(last, P.seasonal_months, P),
+               "selected_n": per.select_periods(12, last, False, P),
+               "selected_all": per.select_periods(None, last, True, P), "horizon": per.horizon(last, 3),
+               "horizon_explicit": per.horizon(last, 3, per.shift(last, 1))}
+    frames = [per.period_list_frame(spark, months).select(F.lit(kind).alias("KIND"), "PERIODO")
+              for kind, months in windows.items()]
+    every = frames[0]
+    for f in frames[1:]:
+        every = every.unionByName(f)
+    return (every.join(m, "PERIODO", "left")
+            .select("KIND", "PERIODO", F.coalesce("N_CLASES", F.lit(0).cast("long")).alias("N_CLASES")))
+
+
 def _schedule_sql() -> str:
     rows = ", ".join(f"({m}, '{f}', {'TRUE' if r else 'FALSE'})" for m, f, r in per.schedule_rows())
     return f"""
