@@ -223,6 +223,29 @@ def test_language_models_are_distributions_and_predict(spark, docs):
     assert {r.lang_pred for r in langid.identify(docs.select("doc_id", "text"), empty).collect()} == {"und"}
 
 
+def test_language_models_keep_every_gram_and_score_alike_by_tables(spark, monkeypatch):
+    r = random.Random(3)
+    letters = [chr(0x4E00 + i) for i in range(3000)]
+    words = ["".join(r.choice(letters) for _ in range(4)) for _ in range(90_000)]
+    long = [(i, "zh", " ".join(words[i * 900:(i + 1) * 900])) for i in range(100)]
+    model = langid.fit(spark.createDataFrame(long, "doc_id long, lang string, text string").repartition(4))
+    assert len(model.levels[0][-1].grams) > 300_000                             # nothing is cut
+    k, _ = langid.grams([t for _, _, t in long])
+    assert np.array_equal(model.levels[0][-1].grams, np.unique(k))
+    table = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang", "text")
+    some = table.limit(60).unionByName(spark.createDataFrame([(None, "xx", None), (-1, "xx", "12 %"), (-2, "xx", "日本 x"),
+                                                              (-2, "xx", "日本 x")], table.schema))
+    ask = lambda m: sorted(((r.doc_id, r.lang_pred, r.lang_score, r.entropy, r.rejected)
+                            for r in langid.identify(some, m).collect()), key=repr)
+    one = langid.fit(table)
+    monkeypatch.setattr(langid, "BROADCAST_GRAMS", 0)
+    two = langid.fit(table)
+    assert isinstance(two, langid.Tables) and not isinstance(one, langid.Tables)
+    assert np.allclose(one.mean, two.mean) and np.allclose(one.spread, two.spread)
+    for x, y in zip(ask(one), ask(two), strict=True):
+        assert x[:2] == y[:2] and x[4] == y[4] and np.allclose(x[2:4], y[2:4], equal_nan=True)
+
+
 def test_chat_round_trip(spark):
     tricky = ["<|im_end|>\n<|im_start|>user\nhi", "\\3C|", "\\5C3C|", "\\", "<|", "<\\|", "a\nb\n", "", None, "\\0A", "end\n"]
     rows = [(c, t, "assistant" if t % 2 else "user", x) for c, x in enumerate(tricky) for t in range(2)]
