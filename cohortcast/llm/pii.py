@@ -9,6 +9,10 @@ date (the 400 years are 773 * 189 days, so both halves are whole), letters of a
 The permutation depends on the key alone, so equal values stay linked across documents and different values stay
 apart; numbers and dates are linked across their separators.
 
+A card may stand beside other short numbers (a date of expiry, a security code): of the runs of whole digit groups in a
+chain, those with a right check digit count, the usual groupings (no separator, 4-4-4-4, 4-6-4, 4-6-5) before others, then
+the longest, then the leftmost.  What stands around the card is searched again.
+
 Edge cases: null text stays null, text without such values stays as it is; invalid look-alikes (a wrong check digit, 30
 February) stay; overlapping candidates: the leftmost wins, at one place in the order above; repeated rows and rows of null doc_id are treated
 each; other columns pass through; an empty table gives no rows.
@@ -28,7 +32,12 @@ DATE = (r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|
 CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
 PHONE = (r"(?<![0-9A-Za-z-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])?[0-9]{3}[ .-][0-9]{4}"
          r"(?![0-9-])")
-PATTERN = "|".join((EMAIL, IPV4, DATE, CARD, PHONE))
+#: Put around a card that was found within a longer candidate; stands for a digit in what may not come before a value.
+MARK = "\uffff"
+MARKED = f"{MARK}[0-9 -]+{MARK}"
+PLAIN = "|".join((EMAIL, IPV4, DATE, CARD, PHONE))
+PATTERN = "|".join((MARKED, *(x.replace("(?<![", f"(?<![{MARK}", 1) for x in (EMAIL, IPV4, DATE, CARD, PHONE))))
+USUAL = r"^(?:[0-9]+|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})$"
 KINDS = ("email", "ipv4", "date", "card", "phone")
 _FORMATS = ((r"^[0-9]{4}-", "yyyy-MM-dd"), (r"^[0-9]{4}/", "yyyy/MM/dd"), (r"^[0-9]{2}\.", "dd.MM.yyyy"),
             (r"^[0-9]{2}/", "MM/dd/yyyy"))
@@ -147,6 +156,55 @@ def _email(m: Column, key: str) -> Column:
                     F.substring_index(m, "@", -1))
 
 
+def card_in(m: Column) -> Column:
+    """struct(start, card): the card in a chain of digit groups (see above), null if there is none."""
+    groups = F.split(m, "[ -]")
+    last = F.size(groups) - 1
+    width = lambda i, n: F.length(F.array_join(F.slice(groups, i + 1, n), "-"))  # noqa: E731 (separators are one character)
+
+    def run(i, j):
+        start = F.when(i > 0, width(F.lit(0), i) + 2).otherwise(1)
+        return F.struct(start.alias("start"), F.substr(m, start, width(i, j - i + 1)).alias("card"))
+    runs = F.flatten(F.transform(F.sequence(F.lit(0), last), lambda i: F.transform(
+        F.sequence(i, last), lambda j: run(i, j))))
+    size = lambda x: F.length(_only_digits(x.card))
+    valid = F.filter(F.filter(runs, lambda x: size(x).between(13, 19)), lambda x: _luhn(_only_digits(x.card), 1) == 0)
+    return F.array_min(F.transform(valid, lambda x: F.struct(
+        (~x.card.rlike(USUAL)).alias("unusual"), (-size(x)).alias("size"), x.start.alias("start"), x.card.alias("card"))))
+
+
+def _is_chain(m: Column) -> Column:
+    return m.rlike("^[0-9 -]+$") & (F.length(_only_digits(m)) >= 13)
+
+
+def _around(m: Column, card: Column, put: Column) -> Column:
+    """m with ``put`` in place of the card."""
+    return F.concat(F.substr(m, F.lit(1), card.start - 1), put, F.substr(m, card.start + F.length(card.card)))
+
+
+def _own(text: str) -> Column:
+    """Whether the text holds the mark itself (it stays, and such a text is searched once)."""
+    return F.contains(F.col(text), F.lit(MARK))
+
+
+def _marked(text: str) -> Column:
+    """The text, with cards marked that are only part of their candidate, so that a second search sees what stands
+    around them."""
+    found = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
+    parts = F.transform(F.array(found), lambda ms: F.transform(ms, lambda m: F.struct(
+        m.alias("m"), F.when(_is_chain(m) & m.rlike("[ -]"), card_in(m)).alias("c"))))
+    some = lambda ms: F.exists(ms, lambda x: x.c.isNotNull() & (x.c.card != x.m))
+    between = F.split(text, PATTERN, -1)
+    put = lambda x: F.when(x.c.isNotNull() & (x.c.card != x.m), _around(
+        x.m, x.c, F.concat(F.lit(MARK), x.c.card, F.lit(MARK)))).otherwise(x.m)
+    whole = lambda ms: F.concat(F.get(between, F.lit(0)), F.array_join(F.zip_with(
+        ms, F.slice(between, 2, F.greatest(F.size(between) - 1, F.lit(0))), lambda x, after: F.concat(put(x), after)), ""))
+    out = F.transform(parts, lambda ms: F.when(some(ms), whole(ms)).otherwise(F.col(text)))
+    # only a chain of several groups can hold a card and something else
+    chain = F.col(text).rlike(r"(?<![0-9])[0-9](?:[ -]?[0-9]){12}") & ~_own(text)
+    return F.when(chain, F.get(out, F.lit(0))).otherwise(F.col(text))
+
+
 def kind_of(m: Column) -> Column:
     """The kind of a match, null if it fails validation."""
     n = F.length(_only_digits(m))
@@ -154,7 +212,7 @@ def kind_of(m: Column) -> Column:
             .when(m.rlike(f"^{_OCTET}(?:\\.{_OCTET}){{3}}$"), F.lit("ipv4"))
             .when(m.rlike(r"^[0-9]{4}[-/][0-9]{2}[-/][0-9]{2}$|^[0-9]{2}[./][0-9]{2}[./][0-9]{4}$"),
                   F.when(_as_date(m).isNotNull(), F.lit("date")))
-            .when((n >= 13) & m.rlike("^[0-9 -]+$"), F.when(_luhn(_only_digits(m), 1) == 0, F.lit("card")))
+            .when((n >= 13) & m.rlike("^[0-9 -]+$"), F.when(card_in(m).isNotNull(), F.lit("card")))
             .otherwise(F.lit("phone")))
 
 
@@ -164,22 +222,38 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
             .when(kind == "phone", _phone(m, key)).otherwise(m))
 
 
+def _same(kind: Column, value: Column) -> Column:
+    return F.struct(kind.alias("kind"), value.alias("value"), value.alias("whole"))
+
+
+def _card_value(m: Column, key: str) -> Column:
+    """struct(kind, value, whole): the card's pseudonym, and the candidate with it put in."""
+    def one(c):
+        value = _card(c.card, key)
+        return F.struct(F.lit("card").alias("kind"), value.alias("value"), _around(m, c, value).alias("whole"))
+    return F.get(F.transform(F.array(card_in(m)), one), F.lit(0))
+
+
 def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """docs with personal values of ``text`` replaced, and pii array<struct<kind, value>> of the pseudonyms put in."""
     names = [c for c in docs.columns if c not in (text, "pii")]
     some = F.col(text).rlike("[0-9@]")
-    found = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "pii"],
-                        F.when(some, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).alias("__m"))
-    kinds = F.transform("__m", lambda m: F.struct(m.alias("m"), kind_of(m).alias("kind")))
+    found = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "pii"], F.when(some, _marked(text)).alias("__t"))
+    pattern = F.when(_own(text), F.lit(PLAIN)).otherwise(F.lit(PATTERN))
+    found = found.withColumn("__m", F.regexp_extract_all("__t", pattern, F.lit(0)))
+    kinds = F.transform("__m", lambda m: F.when(m.startswith(MARK), F.struct(
+        F.regexp_replace(m, MARK, "").alias("m"), F.lit("card").alias("kind"))).otherwise(
+            F.struct(m.alias("m"), kind_of(m).alias("kind"))))
     found = found.withColumn("__k", F.when(F.size("__m") > 0, kinds))
-    found = found.withColumn("__v", F.transform("__k", lambda x: F.struct(
-        x.kind.alias("kind"), pseudonym(x.m, x.kind, key).alias("value"))))
-    between = F.split(text, PATTERN, -1)
+    found = found.withColumn("__v", F.transform("__k", lambda x: F.when(x.kind == "card", _card_value(x.m, key)).otherwise(
+        _same(x.kind, pseudonym(x.m, x.kind, key)))))
+    between = F.split("__t", pattern, -1)
     whole = F.concat(F.get(between, F.lit(0)), F.array_join(F.zip_with(
         F.col("__v"), F.slice(between, 2, F.greatest(F.size(between) - 1, F.lit(0))),
-        lambda v, after: F.concat(v.value, after)), ""))
+        lambda v, after: F.concat(v.whole, after)), ""))
     out = found.select(*[F.col(f"`{c}`") for c in names], F.when(F.col("__v").isNotNull(), whole).otherwise(F.col(text))
-                       .alias(text), F.coalesce(F.filter("__v", lambda v: v.kind.isNotNull()), F.array().cast(
+                       .alias(text), F.coalesce(F.transform(F.filter("__v", lambda v: v.kind.isNotNull()), lambda v: F.struct(
+                           v.kind.alias("kind"), v.value.alias("value"))), F.array().cast(
                            "array<struct<kind:string,value:string>>")).alias("pii"))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns if c != "pii"], "pii")
 

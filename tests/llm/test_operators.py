@@ -321,6 +321,24 @@ def test_pseudonyms(spark):
     assert {r.doc_id: r.kind for r in got.values()}[1] == "k"
 
 
+def test_cards_beside_other_numbers(spark):
+    card, groups = "4041894974608795", "4041 8949 7460 8795"
+    rows = [card, f"{card} 12/27", f"12 {card}", f"{groups} 12/27 123", f"7 {groups}", f"{card} 988-555-2485",
+            f"{card} 02/29/1984", f"{card} 34 {card}", "40418 949746087 95", f"\uffff {card} 12/27", f"\uffff{card}\uffff",
+            f"{card} 988 555-2485", "4041894974608796 12", "988-555-2485", "02/29/1984"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: (r.text, [v.kind for v in r.pii], [v.value for v in r.pii])
+           for r in pii.pseudonymised(df, "key").collect()}
+    hid, phone, day = got[0][0], got[13][0], got[14][0]
+    spaced = " ".join(hid[i:i + 4] for i in range(0, 16, 4))
+    want = [hid, f"{hid} 12/27", f"12 {hid}", f"{spaced} 12/27 123", f"7 {spaced}", f"{hid} {phone}", f"{hid} {day}",
+            f"{hid} 34 {hid}", f"{hid[:5]} {hid[5:14]} {hid[14:]}", f"\uffff {hid} 12/27", f"\uffff{hid}\uffff", None, rows[12]]
+    assert hid != card and [got[i][0] for i in range(13) if i != 11] == [w for w in want if w is not None]
+    assert got[11][0].startswith(hid + " ") and got[11][1] == ["card", "phone"] and "2485" not in got[11][0]
+    assert got[5][1] == ["card", "phone"] and got[7][1] == ["card", "card"] and got[12][1] == []
+    assert got[3][2] == [spaced]
+
+
 def test_permutations_are_one_to_one(spark):
     days = spark.range(146097).select(F.date_format(F.date_add(F.lit("1800-01-01").cast("date"), F.col("id").cast("int")),
                                                     "yyyy-MM-dd").alias("m"))
