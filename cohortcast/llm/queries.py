@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, langid, packing, pii, substring, suffixes, tokens, topk
+from . import chat, decontaminate, jaccard, langid, merkle, packing, pii, substring, suffixes, tokens, topk
 from .common import table, written
 
 #: Key of the pseudonyms in the registered queries; production passes its own.
@@ -105,6 +105,17 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokens.vocabulary(tokens.BYTES))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: leaf, subroot, root, digest of the proof, and the root that the tampered row leads to."""
+    docs = table(spark, sf_dir, "documents").selectExpr(*merkle.FIELDS)
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
+    changed = merkle.leaf(*[F.col(c) + 1 if c == "n_chars" else F.col(c) for c in merkle.FIELDS])
+    out = merkle.manifest(docs, also={"changed": F.when(tampered, changed)})
+    root = merkle.folded(F.coalesce("changed", "leaf"), F.col("steps"))
+    return out.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("steps")).alias("proof_sha256"),
+                      root.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 _SETS = r"""
 WITH RECURSIVE words AS MATERIALIZED (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -168,8 +179,39 @@ kept AS (SELECT words.doc_id, w, CASE WHEN gone IS NULL THEN w ELSE
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - len(k) AS BIGINT) AS n_removed,
   sha256(coalesce(array_to_string(k, ' '), '')) AS kept_sha256 FROM kept"""
 
+OP11_SQL = r"""
+WITH RECURSIVE rows AS MATERIALIZED (SELECT row_number() OVER () AS rid, *, CASE WHEN doc_id IS NULL THEN NULL ELSE
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+      lambda x, c: list_reduce([xor(x, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295) END AS crc
+  FROM documents),
+leaves AS MATERIALIZED (SELECT rid, doc_id, lang, leaf, CASE WHEN crc % 7 = 0 THEN changed ELSE leaf END AS start,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+  FROM (SELECT *, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || body) AS leaf,
+          sha256(head || coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || body) AS changed
+        FROM (SELECT *, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                || coalesce(strlen(lang) || ':' || lang, '-') AS head, coalesce(strlen(text) || ':' || text, '-') AS body FROM rows))),
+up(lang, lvl, pos, d, n) AS (SELECT lang, 0, pos, leaf, n FROM leaves UNION ALL
+  SELECT lang, lvl + 1, pos // 2, sha256(d || coalesce(nxt, '')), (n + 1) // 2
+  FROM (SELECT *, lead(d) OVER (PARTITION BY lang ORDER BY pos) AS nxt FROM up WHERE n > 1) WHERE pos % 2 = 0),
+subs AS MATERIALIZED (SELECT lang, d, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+top(lvl, pos, d, n) AS (SELECT 0, pos, d, n FROM subs UNION ALL
+  SELECT lvl + 1, pos // 2, sha256(d || coalesce(nxt, '')), (n + 1) // 2
+  FROM (SELECT *, lead(d) OVER (ORDER BY pos) AS nxt FROM top WHERE n > 1) WHERE pos % 2 = 0),
+low(rid, lang, lvl, pos, x, proof, n) AS (SELECT rid, lang, 0, pos, start, '', n FROM leaves UNION ALL
+  SELECT w.rid, w.lang, w.lvl + 1, w.pos // 2, CASE WHEN w.pos % 2 = 1 THEN sha256(s.d || w.x) ELSE sha256(w.x || coalesce(s.d, '')) END,
+    w.proof || coalesce(s.d, ''), (w.n + 1) // 2
+  FROM low w LEFT JOIN up s ON s.lang IS NOT DISTINCT FROM w.lang AND s.lvl = w.lvl AND s.pos = xor(w.pos, 1) WHERE w.n > 1),
+high(rid, lvl, pos, x, proof, n) AS (SELECT l.rid, 0, s.pos, l.x, l.proof, s.n FROM low l JOIN subs s ON s.lang IS NOT DISTINCT FROM l.lang
+    WHERE l.n = 1 UNION ALL
+  SELECT w.rid, w.lvl + 1, w.pos // 2, CASE WHEN w.pos % 2 = 1 THEN sha256(s.d || w.x) ELSE sha256(w.x || coalesce(s.d, '')) END,
+    w.proof || coalesce(s.d, ''), (w.n + 1) // 2
+  FROM high w LEFT JOIN top s ON s.lvl = w.lvl AND s.pos = xor(w.pos, 1) WHERE w.n > 1)
+SELECT l.doc_id, l.leaf, s.d AS subroot, t.d AS root, sha256(h.proof) AS proof_sha256, h.x AS folded_root, h.x = t.d AS verified
+FROM leaves l JOIN high h ON h.rid = l.rid AND h.n = 1 JOIN subs s ON s.lang IS NOT DISTINCT FROM l.lang
+JOIN (SELECT d FROM top WHERE n = 1) t ON true"""
+
 QUERIES = {f.__name__: f for f in (
     op1_jaccard_join, op2_benchmark_decontamination, op3_exact_topk, op4_language_id, op5_substring_dedup, op6_chat_format,
-    op7_suffix_dedup, op8_token_counts, op9_pii_pseudonyms, op10_best_fit_packing)}
+    op7_suffix_dedup, op8_token_counts, op9_pii_pseudonyms, op10_best_fit_packing, op11_merkle_manifest)}
 ORACLES = {"op1_jaccard_join": OP1_SQL, "op2_benchmark_decontamination": OP2_SQL, "op3_exact_topk": OP3_SQL,
-           "op5_substring_dedup": OP5_SQL, "op6_chat_format": OP6_SQL}
+           "op5_substring_dedup": OP5_SQL, "op6_chat_format": OP6_SQL, "op11_merkle_manifest": OP11_SQL}
