@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, langid, merkle, packing, pii, substring, suffixes, tokens, topk
+from . import chat, decontaminate, jaccard, langid, merges, merkle, packing, pii, substring, suffixes, tokens, topk
 from .common import table, written
 
 #: Key of the pseudonyms in the registered queries; production passes its own.
@@ -116,6 +116,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                       root.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: tokens, digests of the ids and of the text that they decode to."""
+    return merges.digests(table(spark, sf_dir, "documents"), tokens.vocabulary(merges.WORDS))
+
+
 _SETS = r"""
 WITH RECURSIVE words AS MATERIALIZED (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -212,6 +217,6 @@ JOIN (SELECT d FROM top WHERE n = 1) t ON true"""
 
 QUERIES = {f.__name__: f for f in (
     op1_jaccard_join, op2_benchmark_decontamination, op3_exact_topk, op4_language_id, op5_substring_dedup, op6_chat_format,
-    op7_suffix_dedup, op8_token_counts, op9_pii_pseudonyms, op10_best_fit_packing, op11_merkle_manifest)}
+    op7_suffix_dedup, op8_token_counts, op9_pii_pseudonyms, op10_best_fit_packing, op11_merkle_manifest, op12_bpe_coding)}
 ORACLES = {"op1_jaccard_join": OP1_SQL, "op2_benchmark_decontamination": OP2_SQL, "op3_exact_topk": OP3_SQL,
            "op5_substring_dedup": OP5_SQL, "op6_chat_format": OP6_SQL, "op11_merkle_manifest": OP11_SQL}
