@@ -26,11 +26,11 @@ def prepare(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, have)])
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back (cuts the lineage reliably)."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, **options)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -15,7 +15,6 @@ ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import functools
-import hashlib
 import json
 import os
 import re
@@ -25,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .pieces import Table, decimals, groups, listed, sure_cuts
+from .pieces import Digest, Table, decimals, groups, listed, sure_cuts
 from .tokens import Units
 
 WORDS = "word_bpe_49k.json"
@@ -192,26 +191,12 @@ def coded(docs: DataFrame, path: str, most: int | None = None) -> DataFrame:
         run, "doc_id long, piece long, last boolean, ids array<int>, decoded string")
 
 
-class _Digest:
-    """SHA-256 of parts that end in a separator, without the last separator."""
-
-    def __init__(self):
-        self.hash, self.some = hashlib.sha256(), False
-
-    def add(self, part) -> None:
-        if len(part):
-            if self.some:
-                self.hash.update(b" ")
-            self.hash.update(part[:-1])
-            self.some = True
-
-
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text, without writing ids anywhere."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         for batch in batches:
-            n, a, b, done = 0, _Digest(), _Digest(), []
+            n, a, b, done = 0, Digest(b" "), Digest(b" "), []
             for _, data, last in groups(batch.column(1)):
                 ids, first = c.ids(data)
                 text, width = listed(c.digits, ids, 32)
@@ -224,8 +209,8 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
                     b.add(names[there[i]:there[i + 1]])
                     n += int(first[i + 1] - first[i])
                     if end:
-                        done.append((n, a.hash.hexdigest(), b.hash.hexdigest()))
-                        n, a, b = 0, _Digest(), _Digest()
+                        done.append((n, a.hexdigest(), b.hexdigest()))
+                        n, a, b = 0, Digest(b" "), Digest(b" ")
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, t) for x, t in zip(
                 zip(*done) if done else [[]] * 3, (pa.int64(), pa.string(), pa.string()))]],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

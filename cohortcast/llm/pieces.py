@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,3 +85,20 @@ def listed(table: np.ndarray, ids: np.ndarray, after) -> tuple[np.ndarray, np.nd
     rows[:, -1] = after
     flat = rows.ravel()
     return flat[flat != 0], np.count_nonzero(rows, axis=1)
+
+
+class Digest:
+    """SHA-256 of parts that each end in ``mark``, without the last mark."""
+
+    def __init__(self, mark: bytes):
+        self.hash, self.mark, self.some = hashlib.sha256(), mark, False
+
+    def add(self, part) -> None:
+        if len(part):
+            if self.some:
+                self.hash.update(self.mark)
+            self.hash.update(part[:-1])
+            self.some = True
+
+    def hexdigest(self) -> str:
+        return self.hash.hexdigest()

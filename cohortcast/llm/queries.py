@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, langid, merges, merkle, packing, pii, substring, suffixes, tokens, topk
+from . import align, chat, decontaminate, jaccard, langid, merges, merkle, packing, pii, substring, suffixes, tokens, topk
 from .common import table, written
 
 #: Key of the pseudonyms in the registered queries; production passes its own.
@@ -121,6 +121,12 @@ def op12_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merges.digests(table(spark, sf_dir, "documents"), tokens.vocabulary(merges.WORDS))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: tokens of both vocabularies, groups, links, links by their highest pair, sum of the pairs' documents."""
+    return align.aligned(table(spark, sf_dir, "documents"), tokens.vocabulary(tokens.BYTES),
+                         tokens.vocabulary(tokens.PIECES))[0]
+
+
 _SETS = r"""
 WITH RECURSIVE words AS MATERIALIZED (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -217,6 +223,7 @@ JOIN (SELECT d FROM top WHERE n = 1) t ON true"""
 
 QUERIES = {f.__name__: f for f in (
     op1_jaccard_join, op2_benchmark_decontamination, op3_exact_topk, op4_language_id, op5_substring_dedup, op6_chat_format,
-    op7_suffix_dedup, op8_token_counts, op9_pii_pseudonyms, op10_best_fit_packing, op11_merkle_manifest, op12_bpe_coding)}
+    op7_suffix_dedup, op8_token_counts, op9_pii_pseudonyms, op10_best_fit_packing, op11_merkle_manifest, op12_bpe_coding,
+    op13_tokenizer_alignment)}
 ORACLES = {"op1_jaccard_join": OP1_SQL, "op2_benchmark_decontamination": OP2_SQL, "op3_exact_topk": OP3_SQL,
            "op5_substring_dedup": OP5_SQL, "op6_chat_format": OP6_SQL, "op11_merkle_manifest": OP11_SQL}
