@@ -13,8 +13,8 @@ from ..session import ensure_checkpoint_dir
 from ..sources import driver as drv
 from ..sources import ingest
 from .families import _continuing_sql
-from .forecasting import (EVAL_COLUMNS, SK, _apportion_full_sql, classes_sql, clean_sql, first_level_forecast,
-                          first_level_targets_in_range, first_level_targets_sql, join_target_sql, slot_forecast)
+from .forecasting import (EVAL_COLUMNS, SK, classes_sql, clean_sql, first_level_forecast,
+                          first_level_targets_in_range, first_level_targets_sql, join_target_sql, slot_forecast, slot_forecast_ctes)
 from .families import first_level_features_sql
 from .lookups import CELLS_SQL
 from .registry import query
@@ -128,7 +128,7 @@ def version_match_rate(spark, sf_dir):
 
 
 def _overflow_sql() -> str:
-    return "WITH " + _apportion_full_sql()[len("WITH "):].replace("\nSELECT * FROM fc", "") + """,
+    return "WITH " + slot_forecast_ctes().lstrip() + """,
 o1 AS (SELECT *, CASE WHEN CANT_CLASES_PREDICT > 0
                       THEN least(CANT_CLASES_PREDICT * VAC_ACAD_ESTANDAR, CANT_ALUMNOS_PREDICT) ELSE 0.0 END AS NEW_
          FROM fc),
@@ -147,7 +147,8 @@ o5 AS (SELECT *, round_even(SUM(R) OVER (PARTITION BY PERIODO_TARGET, SEDE), 0)
                                  CURSO_ACTUAL DESC NULLS LAST, CANT_ALUMNOS_PREDICT DESC NULLS LAST,
                                  FAC_ALUMNOS_PREDICT DESC NULLS LAST, CANT_ALUMNOS_ANTERIOR DESC NULLS LAST,
                                  CANT_CLASES_ANTERIOR DESC NULLS LAST, PE DESC NULLS LAST,
-                                 VAC_ACAD_ESTANDAR DESC NULLS LAST, IDX DESC NULLS LAST) AS RNK FROM o4)
+                                 VAC_ACAD_ESTANDAR DESC NULLS LAST, IDX DESC NULLS LAST,
+                                 HORARIO_ACTUAL DESC NULLS LAST) AS RNK FROM o4)
 SELECT PERIODO_TARGET, SEDE, CURSO_ACTUAL, HORARIO_ACTUAL, CANT_CLASES_PREDICT,
        NEW_ + COALESCE(Q + CASE WHEN RNK <= K THEN 1.0 ELSE 0.0 END, 0.0) AS CANT_ALUMNOS_PREDICT,
        LEFT_ AS CANT_ALUMNOS_SIN_CUPO

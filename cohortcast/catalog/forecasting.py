@@ -66,12 +66,15 @@ def family_features(spark, sf_dir, family: str) -> DataFrame:
     return _FEATURES[key]
 
 
-def slot_forecast(spark, sf_dir, source: str = "FAC_ALUMNOS_ANTERIOR") -> DataFrame:
+def slot_forecast_all(spark, sf_dir, source: str = "FAC_ALUMNOS_ANTERIOR") -> DataFrame:
+    """Slot forecast, with courses that have no slots as one row without a slot (the data hold a few at small scale)."""
     cf = family_features(spark, sf_dir, "continuing")
     sf = family_features(spark, sf_dir, "slot")
-    fac = slot_shares(sf, source)
-    # a course to be opened that has no slots stops the query (J14's must-match check)
-    return forecast.with_classes(shares.apportion(fac, course_forecast(cf)))
+    return forecast.with_classes(shares.apportion(slot_shares(sf, source), course_forecast(cf), missing="report"))
+
+
+def slot_forecast(spark, sf_dir, source: str = "FAC_ALUMNOS_ANTERIOR") -> DataFrame:
+    return slot_forecast_all(spark, sf_dir, source).where("HORARIO_ACTUAL IS NOT NULL")
 
 
 def slot_targets_in_range(spark, sf_dir) -> DataFrame:
@@ -127,7 +130,8 @@ w3{sfx} AS (SELECT *, floor(AMT) AS Q, AMT - floor(AMT) AS R FROM w2{sfx}),
 w4{sfx} AS (SELECT *, round_even(SUM(R) OVER ({G}), 0) AS K,
               ROW_NUMBER() OVER ({G} ORDER BY round(R, 9) DESC NULLS LAST, HORARIO_ACTUAL DESC NULLS LAST, {TIEBREAK_SQL}) AS RNK
          FROM w3{sfx}),
-w5{sfx} AS (SELECT *, Q + CASE WHEN RNK <= K THEN 1.0 ELSE 0.0 END AS CANT FROM w4{sfx}),
+w5{sfx} AS (SELECT *, CASE WHEN HORARIO_ACTUAL IS NULL THEN CANT_ALUMNOS_PREDICT
+                       ELSE Q + CASE WHEN RNK <= K THEN 1.0 ELSE 0.0 END END AS CANT FROM w4{sfx}),
 v1{sfx} AS (SELECT *, COUNT(*) OVER ({G}) AS N,
               SUM(CASE WHEN CANT < PE THEN CANT ELSE 0.0 END) OVER ({G}) AS LT_TOTAL,
               SUM(CASE WHEN CANT >= PE THEN CANT ELSE 0.0 END) OVER ({G}) AS GT_TOTAL FROM w5{sfx}),
@@ -153,14 +157,14 @@ def slot_forecast_ctes(source: str = "FAC_ALUMNOS_ANTERIOR", prefix: str = "") -
 cf AS (SELECT * FROM ({continuing_features_sql()}) q),
 sf AS (SELECT * FROM ({slot_features_sql()}) q),
 cant AS (SELECT PERIODO_TARGET, SEDE, CURSO_ACTUAL, PE, {clean_sql('CANT_ALUMNOS_ANTERIOR')} AS CANT_ALUMNOS_PREDICT
-           FROM cf WHERE EXISTS (SELECT 1 FROM sf WHERE sf.PERIODO_TARGET = cf.PERIODO_TARGET AND sf.SEDE = cf.SEDE
-                                                    AND sf.CURSO_ACTUAL = cf.CURSO_ACTUAL)),
+           FROM cf),
 fac AS (SELECT PERIODO_TARGET, SEDE, CURSO_ACTUAL, HORARIO_ACTUAL, IDX, PE, VAC_ACAD_ESTANDAR,
                greatest(COALESCE({source}, 0.0), 0.0) AS FAC_ALUMNOS_PREDICT, CANT_ALUMNOS_ANTERIOR,
                CANT_CLASES_ANTERIOR FROM sf),
 {apportion_ctes('cant', 'fac')},
-{prefix}fc AS (SELECT *, {classes_sql('CANT_ALUMNOS_PREDICT', 'VAC_ACAD_ESTANDAR', 'PE')} AS CANT_CLASES_PREDICT
-         FROM appo)"""
+{prefix}fc_all AS (SELECT *, {classes_sql('CANT_ALUMNOS_PREDICT', 'VAC_ACAD_ESTANDAR', 'PE')} AS CANT_CLASES_PREDICT
+         FROM appo),
+{prefix}fc AS (SELECT * FROM {prefix}fc_all WHERE HORARIO_ACTUAL IS NOT NULL)"""
 
 
 def slot_targets_sql() -> str:
@@ -203,13 +207,14 @@ EVAL_COLUMNS = SK + ["IDX", "PE", "VAC_ACAD_ESTANDAR", "CANT_ALUMNOS_PREDICT", "
 # ---- queries ----------------------------------------------------------------
 
 def _apportion_full_sql() -> str:
-    return "WITH " + slot_forecast_ctes().lstrip() + "\nSELECT * FROM fc"
+    return "WITH " + slot_forecast_ctes().lstrip() + "\nSELECT * FROM fc_all"
 
 
 @query("apportion_full", _apportion_full_sql)
 def apportion_full(spark, sf_dir):
-    """W4 (F14, J14, W1, W2, W3) + X10: course forecasts apportioned to slots, then classes."""
-    return slot_forecast(spark, sf_dir)
+    """W4 (F14, J14, W1, W2, W3) + X10: course forecasts apportioned to slots, then classes; a course without slots is
+    one row with no slot that holds its students."""
+    return slot_forecast_all(spark, sf_dir)
 
 
 def _apportion_basic_sql() -> str:
@@ -330,7 +335,8 @@ fl_ev2 AS ({join_target_sql('fl_c2', 'fl_tgt')}),"""
 fac2 AS (SELECT PERIODO_TARGET, SEDE, CURSO_ACTUAL, HORARIO_ACTUAL, IDX, PE, VAC_ACAD_ESTANDAR,
                 greatest(COALESCE(FAC_ALUMNOS_LAG_12, 0.0), 0.0) AS FAC_ALUMNOS_PREDICT, CANT_ALUMNOS_ANTERIOR,
                 CANT_CLASES_ANTERIOR FROM sf),""" + apportion_ctes("cant", "fac2", "_2") + f""",
-fc2 AS (SELECT *, {classes_sql('CANT_ALUMNOS_PREDICT', 'VAC_ACAD_ESTANDAR', 'PE')} AS CANT_CLASES_PREDICT FROM appo_2),
+fc2 AS (SELECT *, {classes_sql('CANT_ALUMNOS_PREDICT', 'VAC_ACAD_ESTANDAR', 'PE')} AS CANT_CLASES_PREDICT FROM appo_2
+         WHERE HORARIO_ACTUAL IS NOT NULL),
 sl_tgt AS {slot_targets_sql()},
 sl_ev1 AS ({join_target_sql('fc', 'sl_tgt')}),
 sl_ev2 AS ({join_target_sql('fc2', 'sl_tgt')}),"""

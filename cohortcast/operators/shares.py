@@ -35,7 +35,7 @@ def share_of_parent(value: str, parent_keys) -> Column:
 TIE_DIGITS = 9
 # Columns that complete the ordering when remainder and slot tie (duplicated slots).
 TIEBREAK = ["CANT_ALUMNOS_PREDICT", "FAC_ALUMNOS_PREDICT", "CANT_ALUMNOS_ANTERIOR", "CANT_CLASES_ANTERIOR",
-            "PE", "VAC_ACAD_ESTANDAR", "IDX"]
+            "PE", "VAC_ACAD_ESTANDAR", "IDX", "HORARIO_ACTUAL"]
 
 
 def largest_remainder(df: DataFrame, amount: str, out: str, keys=COURSE_KEY, slot: str = "HORARIO_ACTUAL",
@@ -95,18 +95,26 @@ def reallocate_below_minimum(df: DataFrame, students: str = "CANT_ALUMNOS", pe:
     return x.drop("_N", "_GT", "_LT_TOTAL", "_GT_TOTAL", "_AMT", "_ADD")
 
 
-def apportion(forecast_fac: DataFrame, forecast_cant: DataFrame) -> DataFrame:
+def apportion(forecast_fac: DataFrame, forecast_cant: DataFrame, missing: str = "raise") -> DataFrame:
     """Course forecast (students) -> slot forecast.
 
-    F14 course forecast >= PE, J14 left join to the slot shares (must match),
-    W1 normalise, W2 apportion, W3 reallocate; output CANT_ALUMNOS_PREDICT per slot.
+    F14 course forecast >= PE, J14 left join to the slot shares (must match), W1 normalise, W2 apportion, W3
+    reallocate; output CANT_ALUMNOS_PREDICT per slot.  A course without slots stops the query (``missing="raise"``), or
+    stays as one row without a slot that holds all its students (``missing="report"``): none are lost unseen.
     """
+    if missing not in ("raise", "report"):
+        raise ValueError(f"missing must be raise or report, not {missing}")
     fac = forecast_fac.select(*FAC_COLUMNS)
     cant = (forecast_cant.where(F.col("CANT_ALUMNOS_PREDICT") >= F.col("PE"))
                          .select(*COURSE_KEY, "CANT_ALUMNOS_PREDICT"))
-    j = cant.join(fac, COURSE_KEY, "left").withColumn(
-        "FAC_ALUMNOS_PREDICT", require("FAC_ALUMNOS_PREDICT", "slot share for course forecast", "CURSO_ACTUAL"))
+    j = cant.join(fac, COURSE_KEY, "left")
+    if missing == "raise":
+        j = j.withColumn("FAC_ALUMNOS_PREDICT",
+                         require("FAC_ALUMNOS_PREDICT", "slot share for course forecast", "CURSO_ACTUAL"))
     x = apportion_basic(j)
+    if missing == "report":
+        x = x.withColumn("CANT_ALUMNOS", F.when(F.col("HORARIO_ACTUAL").isNull(), F.col("CANT_ALUMNOS_PREDICT"))
+                         .otherwise(F.col("CANT_ALUMNOS")))
     x = reallocate_below_minimum(x)
     return x.drop("CANT_ALUMNOS_PREDICT").withColumnRenamed("CANT_ALUMNOS", "CANT_ALUMNOS_PREDICT")
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,6 +79,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written once as Parquet into the shared checkpoint folder and read back: the lineage ends there (it survives
+    executor loss), nothing is computed twice, and later scans read only the columns that they need."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/layer-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -68,3 +68,13 @@ def test_totals_preserved_and_minimum_respected(spark):
         assert sum(vals) == totals[c]
         if len(vals) > 1:
             assert min(vals) >= 6
+
+
+def test_course_without_slots_stops_or_is_reported(spark):
+    import pytest
+    f = spark.createDataFrame([(202501, "S", "C", "h1", 1, 1, 20, 1.0, 0.0, 0.0)], FAC_SCHEMA)
+    c = spark.createDataFrame([(202501, "S", "C", 8.0, 1), (202501, "S", "D", 9.0, 1)], CANT_SCHEMA)
+    with pytest.raises(Exception, match="null slot share"):
+        shares.apportion(f, c).collect()
+    got = {(r.CURSO_ACTUAL, r.HORARIO_ACTUAL): r.CANT_ALUMNOS_PREDICT for r in shares.apportion(f, c, missing="report").collect()}
+    assert got == {("C", "h1"): 8.0, ("D", None): 9.0}
