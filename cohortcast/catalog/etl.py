@@ -373,29 +373,3 @@ def partition_overwrite(spark, sf_dir):
     sinks.write_by_period(redo, root, "v1")
     back = spark.read.parquet(f"{root}/prog_acad/version=v1")
     return back.select("PERIODO", "SEDE", "CURSO_ACTUAL", "HORARIO_ACTUAL", "CANT_CLASES", "CANT_ALUMNOS")
-
-
-@query("snapshot_load")
-def snapshot_load(spark, sf_dir):
-    """S6 + S7: platinum written under a version (C1 + S8 + S9) and loaded back as a snapshot."""
-    root = _scratch(spark)
-    dm = drv.dims(spark)
-    platinum.build_and_write(drv.raw_class_rows(spark, sf_dir), drv.raw_synthetic(spark, sf_dir), dm, root, "v1", P)
-    facts, synth, dims2 = ingest.load_snapshot(spark, root, "v1", 200112, P)
-    return facts.select("PERIODO", "SEDE", "CURSO_ACTUAL", "HORARIO_ACTUAL", "CANT_CLASES", "CANT_ALUMNOS")
-
-
-@query("publish_alias")
-def publish_alias(spark, sf_dir):
-    """S10 + S11 + S12 + S13: features written per (tipo, version, split, month), predictions under version and alias."""
-    from ..plans import first_level
-    root = _scratch(spark)
-    dm = drv.dims(spark)
-    reg = drv.regular(spark, sf_dir, dm)
-    f = first_level.features(reg, dm, drv.TARGET_RANGE, P)
-    train, test = clean.time_split(f, 200101)
-    sinks.write_layer(train, f"{root}/features", first_level.FAMILY, "v1", "train")
-    sinks.write_layer(test, f"{root}/features", first_level.FAMILY, "v1", "test")
-    sinks.write_with_alias(test, f"{root}/predict", first_level.FAMILY, "v1", 200101, "dev")
-    back = spark.read.parquet(f"{root}/predict")
-    return back.groupBy("tipo", "version").agg(F.count(F.lit(1)).alias("N_ROWS"))

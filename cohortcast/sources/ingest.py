@@ -9,8 +9,8 @@ monthly files.
 from __future__ import annotations
 
 import csv
-
 import unicodedata
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,27 +59,40 @@ def cast_to_schema(df: DataFrame, schema: T.StructType, strict: bool = True) ->
     return df.select(*cols)
 
 
-def _below_banner(spark: SparkSession, path: str) -> DataFrame:
-    """CSV sheets with a title line above the header row: each file is one row (a sheet fits a row), whose first two
-    lines, title and header, are left out; the header of one of them names the columns.  A quoted field must not hold
-    a line break."""
-    files = spark.read.text(path, wholetext=True).select(F.split("value", "\\r?\\n").alias("x"))
-    header = files.select(F.get("x", F.lit(1))).first()
-    names = next(csv.reader([header[0]])) if header and header[0] else []
+def _header(spark: SparkSession, path: str) -> list[str]:
+    """The names in the second line of one of the files (the first is a title)."""
+    top = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0).take(2)
+    names = next(csv.reader([top[1][0]])) if len(top) == 2 and top[1][0] else []
     if not names:
         raise ValueError(f"no header row below the banner in {path}")
-    schema = ", ".join(f"c{i} string" for i in range(len(names)))
-    lines = files.select(F.explode(F.slice("x", 3, F.greatest(F.size("x") - 2, F.lit(0)))).alias("line"))
-    rows = lines.where(F.trim("line") != "").select(F.from_csv("line", schema).alias("r")).select("r.*")
-    return rows.toDF(*names)
+    return names
+
+
+def _below_banner(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Rows and header rows of CSV files with a title line (not blank) above the header, in one splittable scan.  The reader itself leaves out each file's first
+    line, wherever its splits begin; the header row below it is left out as the row of its file's first split that
+    holds the very names, and every file must have it."""
+    names = _header(spark, path)
+    own = [f"_c{i}" for i in range(len(names))]
+    rows = (spark.read.schema(", ".join(f"{c} string" for c in own)).option("header", "true").csv(path)
+            .withColumn("_first", F.col("_metadata.file_block_start") == 0))
+    header = F.col("_first")
+    for c, n in zip(own, names):
+        header &= F.col(c).eqNullSafe(F.lit(n if n != "" else None))
+    return rows.where(~header).drop("_first").toDF(*names), rows.where(header)
 
 
 def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", skip_banner: bool = False) -> DataFrame:
-    """One sheet as CSV (header row, all strings) or Parquet, headers normalised."""
+    """One sheet as CSV (header row, all strings) or Parquet, headers normalised.
+
+    With a banner, every file below ``path`` must have the same header row; a file without it stops the reading."""
     if fmt == "csv":
         r = spark.read.option("header", "true").option("inferSchema", "false").option("encoding", "UTF-8")
         if skip_banner:
-            df = _below_banner(spark, path)
+            df, headers = _below_banner(spark, path)
+            found, files = headers.count(), len(headers.inputFiles())      # sheets are small: a look at each is cheap
+            if found != files:
+                raise ValueError(f"{found} of {files} files in {path} have the expected header row below the banner")
         else:
             df = r.csv(path)
     else:
@@ -89,8 +102,14 @@ def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", skip_banner: bo
 
 def read_classes(spark: SparkSession, root: str, periods=None, fmt: str = "parquet",
                  skip_banner: bool = False) -> DataFrame:
-    """S2 + S3 + S6: the fact layer in one scan, pruned to ``periods`` (absent months simply vanish)."""
-    df = spark.read.parquet(root) if fmt == "parquet" else read_sheet(spark, root, "csv", skip_banner)
+    """S2 + S3 + S6: the fact layer in one scan, pruned to ``periods`` (absent months simply vanish).
+
+    CSV files with a banner are read without a look at each: another header row in one of them would reach the strict cast
+    of PERIODO and stop the query there."""
+    if fmt == "parquet":
+        df = spark.read.parquet(root)
+    else:
+        df = _below_banner(spark, root)[0] if skip_banner else read_sheet(spark, root, "csv")
     df = cast_to_schema(normalise_headers(df), RAW_CLASS_SCHEMA)
     if periods is not None:
         df = df.where(F.col("PERIODO").isin([int(p) for p in periods]))
@@ -116,22 +135,54 @@ DIM_FILES = {
 }
 
 
-def load_snapshot(spark: SparkSession, root: str, version: str, last_period: int | None = None,
-                  params: Params = DEFAULT) -> tuple[DataFrame, DataFrame, Dims]:
-    """Facts, synthetic and the catalogue tables of one platinum version.
+@dataclass(frozen=True)
+class Snapshot:
+    """One platinum version: fact and planner cells, catalogue tables, and the expected months that hold no facts."""
+    facts: DataFrame
+    synthetic: DataFrame
+    dims: Dims
+    missing: DataFrame
 
-    Layout: ``{root}/prog_acad/version=v/PERIODO=p``, ``{root}/synthetic/version=v``,
-    ``{root}/dim/version=v/<name>``.  Facts are pruned to the history window.
+
+def pinned_version(spark: SparkSession, root: str, version: str | None = None) -> str:
+    """The version itself, or the last one (by name) that all layers hold, so that one run never mixes versions."""
+    if version is not None:
+        return version
+    have = [{r[0] for r in spark.read.parquet(f"{root}/{x}").select("version").distinct().collect()}   # one row a version
+            for x in ("prog_acad", "synthetic")]
+    both = sorted(have[0] & have[1])
+    if not both:
+        raise ValueError(f"no version in {root} has both facts and planner rows")
+    return both[-1]
+
+
+def load_versioned(spark: SparkSession, root: str, version: str | None = None, last_period: int | None = None,
+                   params: Params = DEFAULT) -> Snapshot:
+    """S6 + S7: facts, synthetic and the catalogue tables of one pinned platinum version.
+
+    Layout: ``{root}/prog_acad/version=v/PERIODO=p``, ``{root}/synthetic/version=v``, ``{root}/dim/version=v/<name>``.
+    Facts are pruned to the months from the history start to ``last_period``; months of that range without facts don't
+    stop the run, they are reported in ``missing`` (an anti join of calendar and partition values).
     """
-    facts = spark.read.parquet(f"{root}/prog_acad").where(F.col("version") == version).drop("version")
+    version = pinned_version(spark, root, version)
+    facts = spark.read.parquet(f"{root}/prog_acad/version={version}")
+    missing = facts.select("PERIODO").limit(0)
     if last_period is not None:
         facts = facts.where(F.col("PERIODO").between(params.history_start_period, last_period))
-    synth = spark.read.parquet(f"{root}/synthetic").where(F.col("version") == version).drop("version")
+        missing = missing_periods(spark, facts, history_periods(last_period, params))
+    synth = spark.read.parquet(f"{root}/synthetic/version={version}")
     tables = {}
     for name, fname in DIM_FILES.items():
         t = spark.read.parquet(f"{root}/dim/version={version}/{fname}")
         tables[name] = t.distinct() if name == "initial_courses" else t
-    return facts, synth, Dims(tables)
+    return Snapshot(facts, synth, Dims(tables), missing)
+
+
+def load_snapshot(spark: SparkSession, root: str, version: str, last_period: int | None = None,
+                  params: Params = DEFAULT) -> tuple[DataFrame, DataFrame, Dims]:
+    """``load_versioned`` as (facts, synthetic, catalogue tables)."""
+    s = load_versioned(spark, root, version, last_period, params)
+    return s.facts, s.synthetic, s.dims
 
 
 def calendar_gate(calendar: DataFrame, as_of: str) -> DataFrame:
@@ -152,7 +203,7 @@ def with_file_version(df: DataFrame, pattern: str = r".+_(v[0-9]+).*[.]parquet")
 
 
 def csv_passthrough(spark: SparkSession, src: str, dst: str) -> int:
-    """Copy a CSV, counting rows with an observation (no second pass over the data)."""
+    """Copy CSV files, counting rows with an observation of the write itself (no second pass over the data)."""
     from pyspark.sql import Observation
     obs = Observation("rows")
     spark.read.option("header", "true").csv(src).observe(obs, F.count(F.lit(1)).alias("n")) \

@@ -10,7 +10,8 @@ SF = "/root/testdata/sf0.001"
 CHEAP = ["platinum_rollup", "sale_filter", "lag_lookup", "course_lag", "break_even", "opening_hours",
          "candidates_first", "candidates_continuing", "candidates_slot", "apportion_full", "metrics_one_row",
          "slot_hours", "site_hours", "calendar_gate", "pivot_site_month", "distinct_sorted",
-         "course_recode", "union_rollup", "period_shift", "period_windows", "time_split", "schema_cast", "blackout_anti"]
+         "course_recode", "union_rollup", "period_shift", "period_windows", "time_split", "schema_cast", "blackout_anti", "fact_sheet_scan", "dim_sheet_scan", "csv_passthrough", "snapshot_load", "layer_sinks",
+         "publish_alias", "publish_evaluation", "overflow_realloc"]
 
 
 @pytest.fixture(scope="module")

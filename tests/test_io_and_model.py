@@ -77,8 +77,50 @@ def test_alias_sink_requires_known_mode(spark):
     df = spark.createDataFrame([(202501, 1)], "PERIODO_TARGET int, X int")
     with pytest.raises(ValueError):
         sinks.write_with_alias(df, _tmp(), "t", "v1", 202501, "staging")
-    a, b = sinks.write_with_alias(df, _tmp(), "t", "v1", 202501, "prod")
-    assert "version=v1" in a and "version=prod" in b
+
+
+def test_alias_and_version_change_together(spark):
+    root = _tmp()
+    first = spark.createDataFrame([(202501, 1), (202502, 2), (202502, 3)], "PERIODO_TARGET int, X int")
+    sinks.write_with_alias(first, root, "t", "v1", 202501, "prod")
+    sinks.write_with_alias(first.where("PERIODO_TARGET = 202502").withColumn("X", F.lit(9)), root, "t", "v2", 202501, "prod")
+    rows = lambda name: sorted((r.PERIODO_TARGET, r.X) for r in sinks.read_published(spark, root, "t", name).collect())
+    assert rows("v1") == [(202501, 1), (202502, 2), (202502, 3)]
+    assert rows("v2") == [(202502, 9), (202502, 9)]
+    assert rows("prod") == [(202501, 1), (202502, 9), (202502, 9)]
+    before = sinks.published(spark, root, "t")
+    with pytest.raises(Exception):                            # a failed write leaves what is published as it was
+        sinks.write_with_alias(first.withColumn("X", F.raise_error(F.lit("lost")).cast("int")), root, "t", "v3", 202501, "prod")
+    assert sinks.published(spark, root, "t") == before and rows("prod")[0] == (202501, 1)
+    with pytest.raises(ValueError):
+        sinks.read_published(spark, root, "t", "v3")
+
+
+def test_sheets_with_banners_in_several_files(spark):
+    d = _tmp()
+    for i, header in enumerate(["Periodo,Sede"] * 2):
+        with open(os.path.join(d, f"{i}.csv"), "w", encoding="utf-8") as f:
+            f.write(f"Title {i}\n{header}\n20250{i + 1},Ica\nPeriodo,Sede{i}\n")
+    got = sorted(map(tuple, ingest.read_sheet(spark, d, "csv", skip_banner=True).collect()))
+    assert got == [("202501", "Ica"), ("202502", "Ica"), ("Periodo", "Sede0"), ("Periodo", "Sede1")]
+    with open(os.path.join(d, "2.csv"), "w", encoding="utf-8") as f:
+        f.write("Title\nSede,Periodo\nIca,202503\n")
+    with pytest.raises(ValueError, match="2 of 3 files"):
+        ingest.read_sheet(spark, d, "csv", skip_banner=True)
+
+
+def test_snapshot_pins_the_last_whole_version_and_reports_missing_months(spark):
+    root = _tmp()
+    dm = drv.dims(spark)
+    raw, synth = drv.raw_class_rows(spark, SF), drv.raw_synthetic(spark, SF)
+    for v in ("v1", "v2"):
+        platinum.build_and_write(raw.where("PERIODO <> 199705") if v == "v2" else raw, synth, dm, root, v, drv.PARAMS)
+    sinks.write_by_period(platinum.facts_rollup(raw, dm, drv.PARAMS), root, "v3")     # no planner rows: not whole
+    s = ingest.load_versioned(spark, root, None, 199912, drv.PARAMS)
+    months = {r[0] for r in s.facts.select("PERIODO").distinct().collect()}
+    missing = {r[0] for r in s.missing.collect()}
+    assert 199705 in missing and not months & missing
+    assert months | missing == set(ingest.history_periods(199912, drv.PARAMS))
 
 
 def test_feature_specs_follow_the_regime():
