@@ -1,4 +1,4 @@
-"""Driver-table queries for analyses, legacy reallocation and model training."""
+"""Driver-table queries for analyses and legacy reallocation."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions.periods import shift
-from ..operators import clean, rollup, shares
-from ..plans import analysis, continuing, evaluate, first_level, forecast, model
+from ..operators import rollup, shares
+from ..plans import analysis, continuing, evaluate, first_level
 from ..session import ensure_checkpoint_dir
 from ..sources import driver as drv
 from ..sources import ingest
@@ -70,10 +70,8 @@ SELECT a.PERIODO AS M1, b.PERIODO AS M2,
 
 @query("month_correlation", _corr_sql)
 def month_correlation(spark, sf_dir):
-    """Pearson correlation of students between every pair of months over cell keys (MLlib Correlation)."""
-    cells = _cells(spark, sf_dir)
-    months = sorted(r[0] for r in cells.select("PERIODO").distinct().collect())   # bounded: calendar months
-    corr = analysis.month_correlation(cells, ["SEDE", "CURSO_ACTUAL", "HORARIO_ACTUAL"], months)
+    """Pearson correlation of students between every pair of months over cell keys, from sums of products."""
+    corr = analysis.month_correlation(_cells(spark, sf_dir), ["SEDE", "CURSO_ACTUAL", "HORARIO_ACTUAL"])
     return corr.withColumn("CORR", F.round("CORR", 6))
 
 
@@ -162,56 +160,3 @@ def overflow_realloc(spark, sf_dir):
     return shares.overflow_reallocation(fc, short="report").select(
         "PERIODO_TARGET", "SEDE", "CURSO_ACTUAL", "HORARIO_ACTUAL", "CANT_CLASES_PREDICT", "CANT_ALUMNOS_PREDICT",
         "CANT_ALUMNOS_SIN_CUPO")
-
-
-TRAIN_MODEL_MONTH = 200006
-TRAIN_ITERATIONS = 20
-
-
-@query("train_score")
-def train_score(spark, sf_dir):
-    """M1-M3 + C9 + X9 + X10: GBT fitted on the first-level training months, saved, reloaded, test month scored."""
-    dm = drv.dims(spark)
-    reg = drv.regular(spark, sf_dir, dm)
-    f = first_level.features(reg, dm, drv.TARGET_RANGE, P)
-    train, test = clean.time_split(f, TRAIN_MODEL_MONTH)
-    train = clean.seasonal_regime(train.where(F.col("PERIODO_TARGET") >= P.training_start_period),
-                                  TRAIN_MODEL_MONTH, P)
-    spec = model.feature_spec(first_level.FAMILY, TRAIN_MODEL_MONTH, P)
-    fitted = model.fit(train, spec, max_iter=TRAIN_ITERATIONS)
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cohortcast-models-{uuid.uuid4().hex}"
-    model.save(fitted, root, first_level.FAMILY, "v1", TRAIN_MODEL_MONTH)
-    loaded = model.load(root, first_level.FAMILY, "v1", TRAIN_MODEL_MONTH)
-    scored = forecast.score_first_level(model.score(loaded, test, spec), P)
-    return scored.select(*SK, "IDX", "PE", "VAC_ACAD_ESTANDAR", "CANT_ALUMNOS", "prediction",
-                         "CANT_ALUMNOS_PREDICT", "CANT_CLASES_PREDICT")
-
-
-MONTH_RUN = 200006
-MONTH_RUN_HORIZON = 3
-MONTH_RUN_ITERATIONS = 10
-
-
-@query("forecast_evaluate")
-def forecast_evaluate(spark, sf_dir):
-    """C9 + C10 with fitted models: every family trained for one model month, horizon scored (slot family
-    apportioned from the course forecast), evaluated per month with the family's verdict."""
-    from ..functions.periods import ahead_n
-    from ..plans import monthly, slot
-    from ..session import cut_lineage
-    dm = drv.dims(spark)
-    full = drv.regular(spark, sf_dir, dm, include_seasonal=True)
-    reg = full.where(F.col("FLAG_ESTACIONAL") == 0)
-    feats = {first_level.FAMILY: cut_lineage(first_level.features(reg, dm, drv.TARGET_RANGE, P)),
-             continuing.FAMILY: cut_lineage(continuing.features(full, dm, drv.TARGET_RANGE, P)),
-             slot.FAMILY: cut_lineage(slot.features(full, dm, drv.TARGET_RANGE, P))}
-    targets = {first_level.FAMILY: first_level.targets(reg, drv.TARGET_RANGE, P),
-               continuing.FAMILY: continuing.targets(full, P),
-               slot.FAMILY: slot.targets(full, P)}
-    months = ahead_n(MONTH_RUN, MONTH_RUN_HORIZON)
-    res = monthly.run_month(feats, targets, MONTH_RUN, months, P, max_iter=MONTH_RUN_ITERATIONS)
-    frames = [res[f][1] for f in (first_level.FAMILY, continuing.FAMILY, slot.FAMILY)]
-    out = frames[0]
-    for fr in frames[1:]:
-        out = out.unionByName(fr)
-    return out

@@ -404,41 +404,48 @@ def _feature_attach_sql() -> str:
     return _first_level_sql() + f"""
 SELECT f.PERIODO_TARGET, f.SEDE, f.CURSO_ACTUAL, f.HORARIO_ACTUAL, f.IDX, f.PERIODO_LAG_12,
        co.NIVEL, co.CURSO_2, co.FRECUENCIA, co.DURACION, {_level_sql('co.CURSO_2')}
-  FROM feat f JOIN d_courses co ON f.CURSO_ACTUAL = co.CURSO_ACTUAL
- WHERE f.PERIODO_TARGET = {per.shift(HI, 1)} OR f.PERIODO_TARGET % 100 = 6"""
+  FROM feat f JOIN d_courses co ON f.CURSO_ACTUAL = co.CURSO_ACTUAL"""
 
 
 @query("feature_attach", _feature_attach_sql)
 def feature_attach(spark, sf_dir):
-    """J12 + F11 + F20: categoricals attached to candidate rows of the June target months (month slice)."""
+    """J12 + F20: categoricals attached to the candidate rows of every target month."""
     dm = drv.dims(spark)
     reg = drv.regular(spark, sf_dir, dm)
     f = first_level.features(reg, dm, drv.TARGET_RANGE, P, blackout=False)
-    sl = f.where((F.col("PERIODO_TARGET") == per.shift(HI, 1)) | (per.month_of("PERIODO_TARGET") == 6))
-    return sl.select("PERIODO_TARGET", "SEDE", "CURSO_ACTUAL", "HORARIO_ACTUAL", "IDX", "PERIODO_LAG_12",
+    return f.select("PERIODO_TARGET", "SEDE", "CURSO_ACTUAL", "HORARIO_ACTUAL", "IDX", "PERIODO_LAG_12",
                      "NIVEL", "CURSO_2", "FRECUENCIA", "DURACION", "LEVEL", "IDX_CURSO")
 
 
+MODEL_MONTHS = 12          # model months of ``time_split``: the last year of the data, so that every regime occurs
+
+
 def _split_sql() -> str:
-    model = 200006
-    return _first_level_sql() + f"""
-SELECT f.PERIODO_TARGET, f.SEDE, f.CURSO_ACTUAL, f.HORARIO_ACTUAL, f.CANT_ALUMNOS,
-       CASE WHEN f.PERIODO_TARGET < {model} THEN 'train' ELSE 'test' END AS SPLIT
-  FROM feat f
+    last = "(SELECT MAX(CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER)) FROM lineitem)"
+    months = ", ".join(f"({i})" for i in range(MODEL_MONTHS))
+    seasonal = in_list(P.seasonal_months)
+    return _first_level_sql() + f""",
+models AS (SELECT {shift_sql(last, 'i')} AS MODEL_PERIODO FROM (VALUES {months}) m(i))
+SELECT m.MODEL_PERIODO, f.PERIODO_TARGET, f.SEDE, f.CURSO_ACTUAL, f.HORARIO_ACTUAL, f.CANT_ALUMNOS,
+       CASE WHEN f.PERIODO_TARGET < m.MODEL_PERIODO THEN 'train' ELSE 'test' END AS SPLIT
+  FROM feat f JOIN models m ON f.PERIODO_TARGET <= m.MODEL_PERIODO
  WHERE {_not_blackout('f', first_level.FAMILY, 'features')}
-   AND (f.PERIODO_TARGET = {model} OR (f.PERIODO_TARGET < {model} AND f.PERIODO_TARGET >= {P.training_start_period}
-        AND NOT (f.PERIODO_TARGET % 100) IN {in_list(P.seasonal_months)}))"""
+   AND (f.PERIODO_TARGET = m.MODEL_PERIODO OR (f.PERIODO_TARGET >= {P.training_start_period}
+        AND CASE WHEN (m.MODEL_PERIODO % 100) IN {seasonal} THEN f.PERIODO_TARGET % 100 = m.MODEL_PERIODO % 100
+                 ELSE NOT (f.PERIODO_TARGET % 100) IN {seasonal} END))"""
 
 
 @query("time_split", _split_sql)
 def time_split(spark, sf_dir):
-    """F12 + F13: train (earlier months, seasonal regime of the model month) and test (the model month)."""
-    model = 200006
+    """F11 + F12 + F13: for each of the last twelve model months, train (earlier months, regime of the model month: the same month
+    number in season, else no seasonal months) and test (the model month)."""
     dm = drv.dims(spark)
-    reg = drv.regular(spark, sf_dir, dm)
-    f = first_level.features(reg, dm, drv.TARGET_RANGE, P)
-    train, test = clean.time_split(f, model)
-    train = clean.seasonal_regime(train.where(F.col("PERIODO_TARGET") >= P.training_start_period), model, P)
-    cols = ["PERIODO_TARGET", "SEDE", "CURSO_ACTUAL", "HORARIO_ACTUAL", "CANT_ALUMNOS"]
-    return (train.select(*cols, F.lit("train").alias("SPLIT"))
-                 .unionByName(test.select(*cols, F.lit("test").alias("SPLIT"))))
+    last = drv.read(spark, sf_dir, "lineitem").agg(F.max(per.period_of_timestamp("l_shipdate"))).first()[0]
+    f = first_level.features(drv.regular(spark, sf_dir, dm), dm, drv.TARGET_RANGE, P)
+    months = F.array(*[F.lit(per.shift(last, i)) for i in range(MODEL_MONTHS)])        # a bounded fan-out
+    x = f.withColumn("MODEL_PERIODO", F.explode(months)).where("PERIODO_TARGET <= MODEL_PERIODO")
+    test = F.col("PERIODO_TARGET") == F.col("MODEL_PERIODO")
+    train = (F.col("PERIODO_TARGET") >= P.training_start_period) & clean.seasonal_regime_predicate(
+        "PERIODO_TARGET", "MODEL_PERIODO", P)
+    return x.where(test | train).select("MODEL_PERIODO", "PERIODO_TARGET", "SEDE", "CURSO_ACTUAL", "HORARIO_ACTUAL", "CANT_ALUMNOS",
+                                        F.when(test, "test").otherwise("train").alias("SPLIT"))

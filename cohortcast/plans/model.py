@@ -8,13 +8,13 @@ real value, and rows with a null label (growth over a zero base) are dropped.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Params
@@ -86,6 +86,32 @@ def score(model: PipelineModel, test: DataFrame, spec: Spec) -> DataFrame:
     return model.transform(x)
 
 
+def assembled(rows: DataFrame, spec: Spec, indexer: StringIndexerModel, rows_per_task: int = 50_000) -> DataFrame:
+    """The training layer, written once: label and vector of ``prepare``d rows, dealt evenly so that each of the hundreds of
+    passes over it reads balanced partitions and nothing upstream is ever run again."""
+    from ..session import cut_lineage
+    asm = VectorAssembler(inputCols=list(spec.numeric) + [f"{c}__idx" for c in spec.categorical], outputCol="features",
+                          handleInvalid="keep")
+    layer = cut_lineage(asm.transform(indexer.transform(rows)).select("label", "features"))
+    return layer.repartition(max(1, -(-layer.count() // rows_per_task)))
+
+
+def fit_layer(train: DataFrame, spec: Spec, **kw) -> PipelineModel:
+    """M1 + M2 for production sizes: index, assemble and write the layer once, then fit the trees on it (lineage checkpointed
+    every ten trees into the shared folder).  The result scores raw feature rows like ``fit``'s."""
+    from ..session import ensure_checkpoint_dir
+    rows = prepare(train, spec)
+    ensure_checkpoint_dir(rows.sparkSession)
+    indexer = StringIndexer(inputCols=list(spec.categorical), outputCols=[f"{c}__idx" for c in spec.categorical],
+                            handleInvalid="keep").fit(rows)
+    pipeline = build_pipeline(spec, indexer, **kw)
+    _, asm, gbt = pipeline.getStages()
+    trees = gbt.setCheckpointInterval(10).fit(assembled(rows, spec, indexer))
+    return PipelineModel(stages=[indexer, asm, trees])
+
+
+# ---- M3: registry -------------------------------------------------------------------------------------
+
 def save(model: PipelineModel, root: str, family: str, version: str, model_period: int) -> str:
     """M3: one model per (family, version, model month)."""
     path = f"{root}/tipo={family}/version={version}/model_periodo={model_period}"
@@ -97,9 +123,62 @@ def load(root: str, family: str, version: str, model_period: int) -> PipelineMod
     return PipelineModel.load(f"{root}/tipo={family}/version={version}/model_periodo={model_period}")
 
 
-def holdout_report(df: DataFrame, spec: Spec, seed: int = 7, **kw) -> dict:
-    """M4: random 80/20 split, RMSE and R^2 on the hold-out."""
-    train, test = prepare(df, spec).randomSplit([0.8, 0.2], seed=seed)
-    pred = fit_prepared(train, spec, **kw).transform(test)
-    ev = RegressionEvaluator(labelCol="label", predictionCol="prediction")
-    return {"rmse": ev.setMetricName("rmse").evaluate(pred), "r2": ev.setMetricName("r2").evaluate(pred)}
+def digest(spark: SparkSession, path: str) -> str:
+    """One SHA-256 over all data files below ``path`` (names that writers make up don't count, the contents do)."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
+             .select(F.regexp_replace(F.regexp_replace("path", r"part-.*$", ""), r"^.*/(?=(stages|metadata|data)/)", "").alias(
+                 "place"), F.sha2("content", 256).alias("sha")))
+    return files.agg(F.sha2(F.array_join(F.sort_array(F.collect_list(F.concat("place", F.lit(" "), "sha"))), "\n"),
+                            256)).first()[0]                  # a model's files: some per stage
+
+
+def register(model: PipelineModel, root: str, family: str, version: str, model_period: int, alias: str | None = None) -> str:
+    """M3: the model saved under a path of its own and recorded with its digest under the version and, if given, an alias; one
+    atomic replacement shows both."""
+    from ..sources import sinks
+    spark = SparkSession.active()
+    path = f"{root}/tipo={family}/models/{uuid.uuid4().hex}"
+    model.write().save(path)
+    state = sinks.published(spark, f"{root}/registry", family)
+    entry = {"path": path, "sha256": digest(spark, path)}
+    for name in filter(None, (version, alias)):
+        state.setdefault(name, {})[str(int(model_period))] = entry
+    sinks.replace_published(spark, f"{root}/registry", family, state)
+    return path
+
+
+def registered(root: str, family: str, name: str, model_period: int) -> PipelineModel:
+    """The model recorded under a version or alias; files that changed since then stop the loading."""
+    from ..sources import sinks
+    spark = SparkSession.active()
+    entry = sinks.published(spark, f"{root}/registry", family).get(name, {}).get(str(int(model_period)))
+    if entry is None:
+        raise ValueError(f"no model of {family} for {model_period} under {name}")
+    if digest(spark, entry["path"]) != entry["sha256"]:
+        raise ValueError(f"the files of {entry['path']} are not those that were registered")
+    return PipelineModel.load(entry["path"])
+
+
+# ---- M4: hold-out -------------------------------------------------------------------------------------
+
+def with_holdout(df: DataFrame, keys, share: float = 0.2, seed: int = 7, out: str = "HOLDOUT") -> DataFrame:
+    """M4: a split that depends on the row's keys alone, not on partitions or engines: the first eight hex digits of the MD5 of the
+    keys and the seed, below the share of 2 ** 32."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys], F.lit(str(seed)))
+    return df.withColumn(out, F.substring(F.md5(text), 1, 8) < F.lit(f"{round(share * (1 << 32)):08x}"))
+
+
+def regression_metrics(df: DataFrame, prediction: str, label: str, group=()) -> DataFrame:
+    """n, rmse, mae and r2 in one aggregate (r2 is null where the label does not vary)."""
+    y, e = F.col(label).cast("double"), F.col(label).cast("double") - F.col(prediction).cast("double")
+    return df.groupBy(*group).agg(
+        F.count(e).alias("n"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
+        (1 - F.try_divide(F.avg(e * e), F.var_pop(F.when(e.isNotNull(), y)))).alias("r2"))
+
+
+def holdout_report(df: DataFrame, spec: Spec, keys=("PERIODO_TARGET", "SEDE", "CURSO_ACTUAL"), seed: int = 7, **kw) -> dict:
+    """M4: fit on the rows outside the hold-out, metrics on those inside."""
+    x = with_holdout(df, keys, seed=seed)
+    fitted = fit_layer(x.where(~F.col("HOLDOUT")), spec, **kw)
+    scored = score(fitted, x.where("HOLDOUT"), spec)
+    return regression_metrics(scored, "prediction", spec.target).first().asDict()

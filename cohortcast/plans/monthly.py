@@ -32,7 +32,7 @@ def fit_family(features: DataFrame, family: str, model_period: int, params: Para
     train = features.where((F.col("PERIODO_TARGET") < model_period)
                            & (F.col("PERIODO_TARGET") >= params.training_start_period))
     train = clean.seasonal_regime(train, model_period, params)
-    return model.fit(train, spec, **gbt), spec
+    return model.fit_layer(train, spec, **gbt), spec
 
 
 def score_family(fitted, spec, features: DataFrame, family: str, months, params: Params = DEFAULT,

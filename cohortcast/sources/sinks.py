@@ -78,6 +78,11 @@ def _replace(spark: SparkSession, path: str, text: str) -> None:
         fs.makeQualified(tmp), fs.makeQualified(to), how)
 
 
+def replace_published(spark: SparkSession, root: str, tipo: str, state: dict) -> None:
+    """The state that readers see from now on."""
+    _replace(spark, _catalog(root, tipo), json.dumps(state, sort_keys=True))
+
+
 def write_with_alias(df: DataFrame, root: str, tipo: str, version: str, model_period: int, mode: str,
                      period_col: str = "PERIODO_TARGET") -> str:
     """The months of ``df`` published under the model version and the ``dev`` / ``prod`` alias at once.
@@ -95,7 +100,7 @@ def write_with_alias(df: DataFrame, root: str, tipo: str, version: str, model_pe
     state = published(spark, root, tipo)
     for name in (version, mode):
         state.setdefault(name, {}).update({f"{model}/{m}": batch for m in months})
-    _replace(spark, _catalog(root, tipo), json.dumps(state, sort_keys=True))
+    replace_published(spark, root, tipo, state)
     return batch
 
 

@@ -11,7 +11,8 @@ CHEAP = ["platinum_rollup", "sale_filter", "lag_lookup", "course_lag", "break_ev
          "candidates_first", "candidates_continuing", "candidates_slot", "apportion_full", "metrics_one_row",
          "slot_hours", "site_hours", "calendar_gate", "pivot_site_month", "distinct_sorted",
          "course_recode", "union_rollup", "period_shift", "period_windows", "time_split", "schema_cast", "blackout_anti", "fact_sheet_scan", "dim_sheet_scan", "csv_passthrough", "snapshot_load", "layer_sinks",
-         "publish_alias", "publish_evaluation", "overflow_realloc"]
+         "publish_alias", "publish_evaluation", "overflow_realloc", "model_registry", "holdout_metrics", "month_correlation",
+         "feature_attach"]
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +27,7 @@ def test_every_query_has_a_docstring_and_most_have_oracles():
     qs, orc = E.queries(), E.oracle_sql()
     assert set(orc) <= set(qs)
     from cohortcast.catalog import ORACLES, QUERIES            # the library's own, without what may be added to it
-    assert set(QUERIES) <= set(qs) and len(ORACLES) >= len(QUERIES) - 6
+    assert set(QUERIES) <= set(qs) and len(ORACLES) >= len(QUERIES) - 1
     assert all((q.__doc__ or "").strip() for q in qs.values())
 
 

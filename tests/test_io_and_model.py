@@ -146,7 +146,34 @@ def test_gbt_fit_save_load_score(spark):
                          f.where(F.col("PERIODO_TARGET") == 199906), spec)
     assert "prediction" in scored.columns and scored.where(F.col("prediction").isNull()).count() == 0
     rep = model.holdout_report(train, spec, max_iter=3)
-    assert rep["rmse"] >= 0
+    assert rep["rmse"] >= 0 and 0 < rep["n"] < train.count()
+
+
+def test_registry_checks_what_it_loads(spark):
+    rows = spark.createDataFrame([(float(i), "a" if i % 3 else "b", float(i * 2)) for i in range(40)], "x double, c string, y double")
+    spec = model.Spec(("x",), ("c",), "y")
+    fitted = model.fit_layer(rows, spec, max_iter=3)
+    plain = model.fit(rows, spec, max_iter=3)
+    of = lambda m: [r[0] for r in model.score(m, rows, spec).orderBy("x").select("prediction").collect()]
+    assert of(fitted) == of(plain)
+    root = _tmp()
+    path = model.register(fitted, root, "t", "v1", 202501, "champion")
+    assert of(model.registered(root, "t", "champion", 202501)) == of(model.registered(root, "t", "v1", 202501)) == of(fitted)
+    with pytest.raises(ValueError, match="no model"):
+        model.registered(root, "t", "v2", 202501)
+    model.fit(rows, spec, max_iter=2).write().overwrite().save(path)
+    with pytest.raises(ValueError, match="not those"):
+        model.registered(root, "t", "v1", 202501)
+
+
+def test_holdout_split_and_metrics(spark):
+    x = model.with_holdout(spark.range(4000).withColumn("y", F.col("id") % 7), ["id"])
+    share = x.where("HOLDOUT").count() / 4000
+    assert 0.17 < share < 0.23
+    again = model.with_holdout(spark.range(4000).repartition(13), ["id"]).where("HOLDOUT")
+    assert {r[0] for r in again.select("id").collect()} == {r[0] for r in x.where("HOLDOUT").select("id").collect()}
+    m = model.regression_metrics(spark.createDataFrame([(1.0, 2.0), (3.0, 3.0), (5.0, 3.0), (None, 1.0)], "y double, p double"), "p", "y").first()
+    assert m.n == 3 and abs(m.rmse - (5 / 3) ** 0.5) < 1e-12 and abs(m.mae - 1.0) < 1e-12 and abs(m.r2 - (1 - 5 / 8)) < 1e-12
 
 
 def test_verdict_sink_and_csv_passthrough(spark):
