@@ -19,41 +19,7 @@ from .registry import in_list, query, shift_sql
 P = drv.PARAMS
 
 
-def _f1_sql(alias: str = "r") -> str:
-    code = f"{alias}.CODIGO_DE_CURSO"
-    return (f"{alias}.ESTADO <> '{P.cancelled_state}' AND {alias}.SEDE <> '{P.excluded_site}' "
-            f"AND {alias}.NIVEL <> '{P.excluded_level}' "
-            f"AND NOT (length({code}) > 2 AND upper(right({code}, 2)) IN ('HD', 'PV')) "
-            f"AND NOT (length({code}) > 1 AND upper(right({code}, 1)) = 'P' "
-            f"AND {alias}.PERIODO < {P.suffix_cutover_period})")
-
-
-def _f2_sql(alias: str = "r") -> str:
-    return f"NOT COALESCE({alias}.SEDE IN {in_list(P.satellite_sites)}, FALSE)"
-
-
-def _f3_sql(alias: str = "r") -> str:
-    stripped = f"replace({alias}.SEDE, '{P.site_prefix_to_strip}', '')"
-    return (f"CASE WHEN COALESCE({stripped} IN {in_list(P.site_merge_sources)}, FALSE) "
-            f"THEN '{P.site_merge_target}' ELSE {stripped} END")
-
-
-def _platinum_sql() -> str:
-    return f"""
-WITH {_dims_sql()},
-raw AS {drv.RAW_CLASS_ROWS_SQL},
-cleaned AS (
-  SELECT r.PERIODO, {_f3_sql('r')} AS SEDE, r.CODIGO_DE_CURSO, r.HORARIO, r.CANT_MATRICULADOS
-    FROM raw r WHERE {_f1_sql('r')} AND {_f2_sql('r')}),
-recoded AS (
-  SELECT c.PERIODO, c.SEDE, cm.CURSO_ACTUAL, sl.HORARIO_ACTUAL, c.CANT_MATRICULADOS
-    FROM cleaned c JOIN d_course_map cm ON c.CODIGO_DE_CURSO = cm.CURSO_ANTERIOR
-    JOIN d_slots sl ON c.HORARIO = sl.HORARIO)
-SELECT PERIODO, SEDE, CURSO_ACTUAL, HORARIO_ACTUAL, COUNT(*) AS CANT_CLASES,
-       CAST(SUM(CANT_MATRICULADOS) AS BIGINT) AS CANT_ALUMNOS
-  FROM recoded
- WHERE PERIODO IS NOT NULL AND SEDE IS NOT NULL AND CURSO_ACTUAL IS NOT NULL AND HORARIO_ACTUAL IS NOT NULL
- GROUP BY PERIODO, SEDE, CURSO_ACTUAL, HORARIO_ACTUAL"""
+_f1_sql, _f2_sql, _f3_sql, _platinum_sql = drv.f1_sql, drv.f2_sql, drv.f3_sql, drv.platinum_sql
 
 
 @query("platinum_rollup", _platinum_sql)

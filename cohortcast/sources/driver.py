@@ -273,18 +273,18 @@ def reset_base() -> None:
 
 
 def regular(spark: SparkSession, sf_dir: str, dm: Dims, include_seasonal: bool = False) -> DataFrame:
-    """Facts (A1 over class_rows) + synthetic (A2), regrouped (A3), with course flags.
+    """C1's fact cells + synthetic cells (A2), regrouped (A3), with course flags (J3): every family starts from the
+    platinum layer.
 
-    The roll-up is the input of every family; it is computed once per query and
-    cut from its lineage with a reliable checkpoint in the shared checkpoint
-    folder, so later stages neither recompute the fact joins nor depend on
-    executors that computed them.
+    It is computed once per query and written to the shared checkpoint folder, so later stages neither recompute
+    the fact joins nor depend on executors that computed them, and read only the columns they need.
     """
     from ..operators import rollup
+    from ..plans import platinum
     from ..session import cut_lineage
     key = (id(spark), sf_dir, id(dm))
     if key not in _BASE:
-        facts = rollup.platinum_rollup(class_rows(spark, sf_dir))
+        facts = platinum.facts_rollup(raw_class_rows(spark, sf_dir), dm, PARAMS)
         full = rollup.regular_facts(facts, synthetic_cells(spark, sf_dir, dm), dm, include_seasonal=True)
         _BASE[key] = cut_lineage(full)
     full = _BASE[key]
@@ -352,16 +352,48 @@ def raw_synthetic_sql() -> str:
   WHERE o.o_orderstatus = 'P')"""
 
 
+def _in(values) -> str:
+    return "(" + ", ".join(_sql_lit(v) for v in values) + ")"
+
+
+def f1_sql(alias: str = "r") -> str:
+    code, p = f"{alias}.CODIGO_DE_CURSO", PARAMS
+    return (f"{alias}.ESTADO <> '{p.cancelled_state}' AND {alias}.SEDE <> '{p.excluded_site}' "
+            f"AND {alias}.NIVEL <> '{p.excluded_level}' "
+            f"AND NOT (length({code}) > 2 AND upper(right({code}, 2)) IN ('HD', 'PV')) "
+            f"AND NOT (length({code}) > 1 AND upper(right({code}, 1)) = 'P' "
+            f"AND {alias}.PERIODO < {p.suffix_cutover_period})")
+
+
+def f2_sql(alias: str = "r") -> str:
+    return f"NOT COALESCE({alias}.SEDE IN {_in(PARAMS.satellite_sites)}, FALSE)"
+
+
+def f3_sql(alias: str = "r") -> str:
+    stripped = f"replace({alias}.SEDE, '{PARAMS.site_prefix_to_strip}', '')"
+    return (f"CASE WHEN COALESCE({stripped} IN {_in(PARAMS.site_merge_sources)}, FALSE) "
+            f"THEN '{PARAMS.site_merge_target}' ELSE {stripped} END")
+
+
+def platinum_sql() -> str:
+    """SQL of C1's fact cells: F1, F2, F3, J1, J2, A1."""
+    return f"""
+SELECT PERIODO, SEDE, CURSO_ACTUAL, HORARIO_ACTUAL, COUNT(*) AS CANT_CLASES,
+       CAST(SUM(CANT_MATRICULADOS) AS BIGINT) AS CANT_ALUMNOS
+  FROM (SELECT c.PERIODO, c.SEDE, cm.CURSO_ACTUAL, sl.HORARIO_ACTUAL, c.CANT_MATRICULADOS
+          FROM (SELECT r.PERIODO, {f3_sql('r')} AS SEDE, r.CODIGO_DE_CURSO, r.HORARIO, r.CANT_MATRICULADOS
+                  FROM {RAW_CLASS_ROWS_SQL} r WHERE {f1_sql('r')} AND {f2_sql('r')}) c
+          JOIN {dim_sql('course_map')} cm ON c.CODIGO_DE_CURSO = cm.CURSO_ANTERIOR
+          JOIN {dim_sql('slots')} sl ON c.HORARIO = sl.HORARIO) x
+ WHERE PERIODO IS NOT NULL AND SEDE IS NOT NULL AND CURSO_ACTUAL IS NOT NULL AND HORARIO_ACTUAL IS NOT NULL
+ GROUP BY PERIODO, SEDE, CURSO_ACTUAL, HORARIO_ACTUAL"""
+
+
 def regular_sql(include_seasonal: bool = False) -> str:
-    """SQL of ``regular``: A1 + synthetic (J1 J2 A2) regrouped (A3) with flags."""
+    """SQL of ``regular``: C1's cells + synthetic (J1 J2 A2) regrouped (A3) with flags."""
     seasonal = "" if include_seasonal else "WHERE FLAG_ESTACIONAL = 0"
     return f"""
-(WITH facts AS (
-   SELECT PERIODO, SEDE, CURSO_ACTUAL, HORARIO_ACTUAL, COUNT(*) AS CANT_CLASES,
-          SUM(CANT_MATRICULADOS) AS CANT_ALUMNOS
-     FROM {CLASS_ROWS_SQL} cr
-    WHERE PERIODO IS NOT NULL AND SEDE IS NOT NULL AND CURSO_ACTUAL IS NOT NULL AND HORARIO_ACTUAL IS NOT NULL
-    GROUP BY PERIODO, SEDE, CURSO_ACTUAL, HORARIO_ACTUAL),
+(WITH facts AS ({platinum_sql()}),
  synth AS (
    SELECT s.PERIODO, s.SEDE, cm.CURSO_ACTUAL, sl.HORARIO_ACTUAL,
           SUM(s.CANT_CLASES) AS CANT_CLASES, SUM(s.CANT_ALUMNOS) AS CANT_ALUMNOS
