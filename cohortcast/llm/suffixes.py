@@ -34,7 +34,9 @@ from .windows import Anchors, Flags, attach_spans, counted, led, pack, pieces, s
 W, K = 100, 50
 LEFT = W - K                 # most bytes of a segment before its anchor
 WIDTH = LEFT + W             # columns of a part
-CHUNK = 4 << 20
+CHUNK = 2 << 20
+STEP = 1 << 20               # bytes hashed at once
+SEGMENTS = 25_000            # segments laid out at once
 END = 255                    # never a byte of UTF-8
 _SYMBOL = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
 
@@ -42,7 +44,7 @@ _SYMBOL = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
 def _anchors_of(batch):
     for part in slices(batch, "text", CHUNK):
         raw, offs = joined(part.column(1))
-        for group in pieces(offs, W):
+        for group in pieces(offs, W, STEP):
             lo, hi = group[0][1], group[-1][2]
             yield Anchors(_SYMBOL[raw[lo:hi]], offs - lo, [(i, s - lo, e - lo) for i, s, e in group], W, K).anchor
 
@@ -55,7 +57,7 @@ def _estimated(flags, parts: int):
                 part = part.take(pa.compute.sort_indices(part.column(0)))
                 ids = np.asarray(part.column(0).fill_null(0)).astype(np.int64)
                 raw, offs = joined(part.column(1))
-                for group in pieces(offs, W):
+                for group in pieces(offs, W, STEP):
                     lo, hi = group[0][1], group[-1][2]
                     a = Anchors(_SYMBOL[raw[lo:hi]], offs - lo, [(i, s - lo, e - lo) for i, s, e in group], W, K)
                     keep = np.flatnonzero(flags.value(a.anchor))
@@ -135,7 +137,7 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edge = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.empty(0, np.int64)
         begin = 0
         while begin < len(order):
-            j = np.searchsorted(edge, begin + 100_000)
+            j = np.searchsorted(edge, begin + SEGMENTS)
             stop = int(edge[j]) if j < len(edge) else len(order)
             take = order[begin:stop]
             begin = stop

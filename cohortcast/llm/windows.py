@@ -39,18 +39,18 @@ class Rolling:
         return mix((self._sum[e] - self._sum[s]) * self._inv[s])
 
 
-def pieces(offs: np.ndarray, w: int):
-    """Cut texts (offsets into a row of symbols) into groups of pieces of at most about _STEP symbols.  A long text's
+def pieces(offs: np.ndarray, w: int, step: int = _STEP):
+    """Cut texts (offsets into a row of symbols) into groups of pieces of at most about ``step`` symbols.  A long text's
     pieces overlap by w - 1, so each window lies in just one.  Yields lists of (text, from, to)."""
     held, size = [], 0
     for i, (s, e) in enumerate(zip(offs[:-1].tolist(), offs[1:].tolist())):
         at = s
         while e - at >= w:
-            end = min(e, at + _STEP + w - 1)
+            end = min(e, at + step + w - 1)
             held.append((i, at, end))
             size += end - at
-            at += _STEP
-            if size >= _STEP:
+            at += step
+            if size >= step:
                 yield held
                 held, size = [], 0
     if held:
