@@ -37,16 +37,15 @@ DATE = (r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|
 PHONE = (r"(?<![0-9A-Za-z-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])?[0-9]{3}[ .-][0-9]{4}"
          r"(?![0-9-])")
 CHAIN = r"[0-9](?:[ -]?[0-9]){12}"
-#: Candidates for cards; a spaced grouping is not the end of a hyphenated number nor the beginning of one, and a mailbox is no card.
+#: Candidates for cards; a spaced grouping does not begin within a hyphenated number, and a mailbox is no card.
 _END = r"(?![0-9])(?![A-Za-z0-9._%+-]{0,64}+@)"
-_SPACED, _HYPHENED = rf"(?!-[0-9]){_END}", _END
 CARDS = (rf"(?<![0-9])[0-9]{{13,19}}{_END}",
-         *(rf"(?<![0-9])(?<![0-9]-)[0-9]{{4}}(?: [0-9]{{4}}){{3}}{x}{_SPACED}" for x in ("", " [0-9]{3}")),
-         *(rf"(?<![0-9])(?<![0-9]-)[0-9]{{4}} [0-9]{{6}} [0-9]{{{n}}}{_SPACED}" for n in (4, 5)),
-         *(rf"(?<![0-9])[0-9]{{4}}(?:-[0-9]{{4}}){{3}}{x}{_HYPHENED}" for x in ("", "-[0-9]{3}")),
-         *(rf"(?<![0-9])[0-9]{{4}}-[0-9]{{6}}-[0-9]{{{n}}}{_HYPHENED}" for n in (4, 5)))
+         *(rf"(?<![0-9])(?<![0-9]-)[0-9]{{4}}(?: [0-9]{{4}}){{3}}{x}{_END}" for x in ("", " [0-9]{3}")),
+         *(rf"(?<![0-9])(?<![0-9]-)[0-9]{{4}} [0-9]{{6}} [0-9]{{{n}}}{_END}" for n in (4, 5)),
+         *(rf"(?<![0-9])[0-9]{{4}}(?:-[0-9]{{4}}){{3}}{x}{_END}" for x in ("", "-[0-9]{3}")),
+         *(rf"(?<![0-9])[0-9]{{4}}-[0-9]{{6}}-[0-9]{{{n}}}{_END}" for n in (4, 5)))
 UNUSUAL = (rf"(?<![0-9])(?<![0-9][ -])(?=[0-9](?:[ -]?[0-9]){{12,18}}(?![ -]?[0-9]))"
-           rf"[0-9]{{1,18}}([ -])[0-9]{{1,18}}(?:\2[0-9]{{1,18}}){{0,17}}{_END}")
+           rf"[0-9]{{1,18}}([ -])[0-9]{{1,18}}(?:\2[0-9]{{1,18}}){{0,17}}+(?![ -]?[0-9]){_END}")
 #: Marks around found values and found cards, and the escape for texts that hold them.
 MARK, CARD, ESCAPE = "￿", "﷒", "￾"
 _CODES = ((ESCAPE, ESCAPE + "﷐"), (MARK, ESCAPE + "﷑"), (CARD, ESCAPE + "﷓"))
