@@ -34,8 +34,8 @@ from .windows import Anchors, Flags, attach_spans, counted, led, pack, pieces, s
 W, K = 100, 50
 LEFT = W - K                 # most bytes of a segment before its anchor
 WIDTH = LEFT + W             # columns of a part
-CHUNK = 2 << 20
-STEP = 1 << 20               # bytes hashed at once
+CHUNK = 4 << 20
+STEP = 1 << 19               # bytes hashed at once
 SEGMENTS = 25_000            # segments laid out at once
 END = 255                    # never a byte of UTF-8
 _SYMBOL = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
@@ -57,6 +57,7 @@ def _estimated(flags, parts: int):
                 part = part.take(pa.compute.sort_indices(part.column(0)))
                 ids = np.asarray(part.column(0).fill_null(0)).astype(np.int64)
                 raw, offs = joined(part.column(1))
+                found = []
                 for group in pieces(offs, W, STEP):
                     lo, hi = group[0][1], group[-1][2]
                     a = Anchors(_SYMBOL[raw[lo:hi]], offs - lo, [(i, s - lo, e - lo) for i, s, e in group], W, K)
@@ -67,18 +68,20 @@ def _estimated(flags, parts: int):
                     rel = a.at[keep] - a.start[keep]
                     whole = a.roll.spans(base, base + count - 1 + W)
                     key = mix(a.anchor[keep] ^ mix(whole + U64(1)) ^ (count * 256 + rel).astype(U64))
-                    doc, start = ids[a.text[keep]], a.start[keep]
-                    lead, again = led(key, doc, start)
-                    yield pack(_part(a.anchor[keep][lead], parts),
-                               [a.anchor[keep][lead], doc[lead], start[lead], rel[lead].astype(np.uint8),
-                                count[lead].astype(np.int16)],
-                               names, (raw[lo:hi], base[lead], count[lead] - 1 + W))
-                    if again.any():
-                        n = int(again.sum())
-                        yield pack(_part(doc[again].astype(U64), parts),
-                                   [np.zeros(n, U64), doc[again], start[again], np.zeros(n, np.uint8),
-                                    (-count[again]).astype(np.int16)],
-                                   names, (raw[lo:hi], base[again], np.zeros(n, np.int64)))
+                    found.append((key, a.anchor[keep], ids[a.text[keep]], a.start[keep], rel.astype(np.uint8),
+                                  count.astype(np.int16), base + lo))
+                if not found:
+                    continue
+                key, anchor, doc, start, rel, count, base = (np.concatenate(x) for x in zip(*found))
+                lead, again = led(key, doc, start)
+                size = count.astype(np.int64) - 1 + W
+                yield pack(_part(anchor[lead], parts), [anchor[lead], doc[lead], start[lead], rel[lead], count[lead]], names,
+                           (raw, base[lead], size[lead]))
+                if again.any():
+                    n = int(again.sum())
+                    yield pack(_part(doc[again].astype(U64), parts),
+                               [np.zeros(n, U64), doc[again], start[again], np.zeros(n, np.uint8), -count[again]], names,
+                               (raw, base[again], np.zeros(n, np.int64)))
     return run
 
 
@@ -201,7 +204,7 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = sketch_bits(size, W, K)
     flags = spark.sparkContext.broadcast(Flags(counted(docs, _anchors_of, bits), bits))
-    parts = partitions(spark, size, 16 << 20)
+    parts = partitions(spark, size, 8 << 20)
     dealt = docs.where("doc_id is not null").mapInArrow(
         _estimated(flags, parts),
         "part int, anchor binary, doc binary, start binary, at binary, n binary, bytes binary")
