@@ -153,6 +153,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int):
         total += n
     if len(size) > first:
         yield batch.slice(first)
+    pa.default_memory_pool().release_unused()               # a worker lives on: what a batch took goes back
 
 
 def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
