@@ -5,7 +5,9 @@ sketches are merged; the merged estimate of a window is never below its true cou
 estimate is one are left alone, all others are dealt out by anchor and grouped exactly by their word sequence (two
 independent 64-bit hashes); in each group every window but the first (doc_id, start) is repeated.  A window that
 already repeats within one task's slice of rows is settled there, so a passage that a third of all documents hold sends
-one row per slice.  The words covered by repeated windows are then removed, judged on the input.
+one row per slice.  An anchor that makes up a hot share of all (a phrase that many documents hold between different
+words) is split: its windows are dealt out singly, by their own hash.  The words covered by repeated windows are then
+removed, judged on the input.
 
 Edge cases: null text has no words and stays (n_words 0, empty hash input); texts under 20 words have no window; rows of
 null doc_id take no part in the comparison and keep all words; rows that repeat a doc_id are compared in order of
@@ -25,7 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import U64, mix, partitions, ragged, slices, words
 from .jaccard import by_part
-from .windows import Anchors, Flags, attach_spans, counted, led, pack, pieces, sketch_bits, spans_by_document
+from .windows import (HOT_LEAST, Anchors, attach_spans, dealt_runs, expected_anchors, led, pack, pieces, repeat_flags,
+                      spans_by_document)
 
 W, K = 20, 10
 CHUNK = 8 << 20
@@ -51,16 +54,15 @@ def _estimated(flags, parts: int):
                     keep = np.flatnonzero(flags.value(a.anchor))
                     if not len(keep):
                         continue
-                    count, base = a.count[keep].astype(np.int64), a.base[keep] - a.lo
+                    anchor, text, start, _, count, base = dealt_runs(a, keep, flags.value.hot, W)
                     # equal anchors, first and last windows: equal runs; the first in the slice stands for them
                     first, last = a.roll.spans(base, base + W), a.roll.spans(base + count - 1, base + count - 1 + W)
-                    key = mix(a.anchor[keep] ^ mix(first + U64(1)) ^ mix(last + U64(2)) ^ count.astype(U64))
-                    doc, start = ids[a.text[keep]], a.start[keep]
+                    key = mix(anchor ^ mix(first + U64(1)) ^ mix(last + U64(2)) ^ count.astype(U64))
+                    doc = ids[text]
                     lead, again = led(key, doc, start)
                     lens = count[lead]
                     every = a.roll.every(W)
-                    yield pack(_part(a.anchor[keep][lead], parts),
-                               [a.anchor[keep][lead], doc[lead], start[lead], lens],
+                    yield pack(_part(anchor[lead], parts), [anchor[lead], doc[lead], start[lead], lens],
                                ["anchor", "doc", "start", "n", "hashes"], (every, base[lead], lens))
                     if again.any():
                         yield pack(_part(doc[again].astype(U64), parts),
@@ -137,12 +139,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
 
 
-def repeated_windows(docs: DataFrame) -> DataFrame:
-    """(doc, start, n): runs of windows whose word sequence also starts earlier."""
+def repeated_windows(docs: DataFrame, hot_least: int = HOT_LEAST) -> DataFrame:
+    """(doc, start, n): runs of windows whose word sequence also starts earlier.  Anchors that occur ``hot_least`` times
+    and make up a hot share are split (same result)."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = sketch_bits(size // 6, W, K)
-    flags = spark.sparkContext.broadcast(Flags(counted(docs, _anchors_of, bits), bits))
+    flags = repeat_flags(docs, _anchors_of, expected_anchors(size // 6, W, K), hot_least)
     parts = partitions(spark, size // 6, 4_000_000)
     dealt = docs.where("doc_id is not null").mapInArrow(
         _estimated(flags, parts), "part int, anchor binary, doc binary, start binary, n binary, hashes binary")

@@ -3,7 +3,8 @@
 A text is a row of symbols (words or bytes).  Of every window of ``w`` symbols the leftmost smallest hash of its
 ``k``-symbol grams is its anchor, so equal windows have equal anchors at equal places.  A sketch counts the anchors of the
 whole corpus; an anchor that occurs once proves that all windows around it occur once, and only the others
-are dealt out, by anchor, to be grouped exactly.  Sketch errors can only add work.
+are dealt out, by anchor, to be grouped exactly.  Sketch errors can only add work.  An anchor that makes up a hot share of
+all anchors is no key to deal by: its windows go singly, each by its own hash.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ _STEP = 1 << 21             # symbols worked on at once
 BLOCKS = 32                 # blocks of each sketch row
 DEPTH = 2
 MAX_BITS = 27               # log2 of the cells of a sketch row: at most 2 x 16 MB of flags are sent to the tasks
+HOT_SHARE = 1 << 17         # an anchor is hot from this part of all anchors on (so there are at most about that many) ...
+HOT_LEAST = 4096            # ... and from this number on
 
 
 class Rolling:
@@ -98,6 +101,25 @@ class Anchors:
         self.at = (pos + lo - begin).astype(np.int64)
 
 
+def dealt_runs(a: Anchors, keep: np.ndarray, hot: np.ndarray, w: int):
+    """(anchor, text, start, rel, count, base) of the runs ``keep``; rel: from the run's first window to its anchor, base:
+    within the piece.  Runs of hot anchors (sorted) come as single windows, each under a hash of window and anchor."""
+    anchor, text, start, count = a.anchor[keep], a.text[keep], a.start[keep], a.count[keep].astype(np.int64)
+    rel, base = a.at[keep] - start, a.base[keep] - a.lo
+    if not len(hot) or not len(anchor):
+        return anchor, text, start, rel, count, base
+    at = np.minimum(np.searchsorted(hot, anchor), len(hot) - 1)
+    split = hot[at] == anchor
+    n = np.where(split, count, 1)
+    row = np.repeat(np.arange(len(n)), n)
+    step = ragged(np.zeros(len(n), np.int64), n)
+    anchor, text, split = anchor[row], text[row], split[row]
+    start, rel, base = start[row] + step, rel[row] - step, base[row] + step
+    one = base[split]
+    anchor[split] = mix(anchor[split] ^ mix(a.roll.spans(one, one + w) + U64(3)))
+    return anchor, text, start, rel, np.where(split, 1, count[row]), base
+
+
 def _lower(value, place, d):
     a, b = value[:-d], value[d:]
     right = b < a
@@ -113,6 +135,7 @@ def cells(anchors: np.ndarray, bits: int) -> list[np.ndarray]:
 
 def counted(docs: DataFrame, anchors_of, bits: int) -> DataFrame:
     """Rows (block, at, twice): per task the cells that its anchors hit, as sorted offsets, and which it hit twice.
+    Blocks below 0 hold the task's frequent anchors (at least half a hot share of its own) and their counts.
 
     ``anchors_of(batch)`` yields arrays of anchor hashes."""
     width = (1 << bits) // BLOCKS
@@ -135,6 +158,14 @@ def counted(docs: DataFrame, anchors_of, bits: int) -> DataFrame:
                         gaps = np.diff(c[s:e] - b * width, prepend=0).astype("<u4")
                         out.append((d * BLOCKS + b, gaps.view(np.uint8).reshape(-1, 4).T.tobytes(),
                                     np.packbits(twice[s:e]).tobytes()))
+            x.sort()
+            first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+            n = np.diff(np.r_[first, len(x)])
+            often = n >= max(2, len(x) // (2 * HOT_SHARE))
+            x, n = x[first[often]], n[often]
+            own = (x % U64(BLOCKS)).astype(np.int64)
+            for b in np.unique(own).tolist():
+                out.append((-1 - b, x[own == b].tobytes(), n[own == b].astype("<u4").tobytes()))
             return pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.binary()),
                  pa.array([r[2] for r in out], pa.binary())], ["block", "at", "twice"])
@@ -150,22 +181,28 @@ def counted(docs: DataFrame, anchors_of, bits: int) -> DataFrame:
     return docs.mapInArrow(run, "block int, at binary, twice binary")
 
 
-def _merged(bits: int):
+def _merged(bits: int, hot: int):
+    """Rows (block, flags): which cells are hit twice or more; below 0 the anchors that occur ``hot`` times or more."""
     width = (1 << bits) // BLOCKS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, total = None, None
 
         def row():
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()),
-                                               pa.array([np.packbits(total >= 2).tobytes()], pa.binary())],
+            flags = total[0][total[1] >= hot] if now < 0 else np.packbits(total >= 2)
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([flags.tobytes()], pa.binary())],
                                               ["block", "flags"])
         for batch in batches:
             for b, at, twice in zip(*(c.to_pylist() for c in batch.columns)):
                 if b != now:
                     if now is not None:
                         yield row()
-                    now, total = b, np.zeros(width, np.uint8)
+                    now, total = b, (np.empty(0, U64), np.empty(0, np.int64)) if b < 0 else np.zeros(width, np.uint8)
+                if b < 0:
+                    x, which = np.unique(np.r_[total[0], np.frombuffer(at, U64)], return_inverse=True)
+                    n = np.bincount(which, np.r_[total[1], np.frombuffer(twice, "<u4")]).astype(np.int64)
+                    total = x, n
+                    continue
                 x = np.ascontiguousarray(np.frombuffer(at, np.uint8).reshape(4, -1).T).view("<u4").ravel()
                 x = np.cumsum(x.astype(np.int64))
                 more = 1 + np.unpackbits(np.frombuffer(twice, np.uint8), count=len(x))
@@ -176,18 +213,22 @@ def _merged(bits: int):
 
 
 class Flags:
-    """Which anchors the merged sketch estimates to occur twice or more (broadcast; at most 2 ** MAX_BITS bits a row)."""
+    """Which anchors the merged sketch estimates to occur twice or more (broadcast; at most 2 ** MAX_BITS bits a row),
+    and the hot ones (sorted; their share bounds them to about HOT_SHARE)."""
 
-    def __init__(self, sketch: DataFrame, bits: int):
+    def __init__(self, sketch: DataFrame, bits: int, expected: int, hot_least: int = HOT_LEAST):
         self.bits = bits
         width = (1 << bits) // BLOCKS
-        rows = (sketch.repartition(DEPTH * BLOCKS, "block").sortWithinPartitions("block")
-                .mapInArrow(_merged(bits), "block int, flags binary").collect())
+        merged = _merged(bits, max(hot_least, expected // HOT_SHARE))
+        rows = ((sketch.repartition((DEPTH + 1) * BLOCKS, "block").sortWithinPartitions("block"))
+                .mapInArrow(merged, "block int, flags binary").collect())
         flags = np.zeros((DEPTH, (1 << bits) // 8), np.uint8)
         for r in rows:
-            d, b = divmod(r.block, BLOCKS)
-            flags[d, b * width // 8:(b + 1) * width // 8] = np.frombuffer(r.flags, np.uint8)
+            if r.block >= 0:
+                d, b = divmod(r.block, BLOCKS)
+                flags[d, b * width // 8:(b + 1) * width // 8] = np.frombuffer(r.flags, np.uint8)
         self.flags = flags
+        self.hot = np.sort(np.concatenate([np.empty(0, U64), *(np.frombuffer(r.flags, U64) for r in rows if r.block < 0)]))
 
     def __call__(self, anchors: np.ndarray) -> np.ndarray:
         ok = np.ones(len(anchors), bool)
@@ -196,12 +237,21 @@ class Flags:
         return ok
 
 
-def sketch_bits(symbols: int, w: int, k: int) -> int:
+def expected_anchors(symbols: int, w: int, k: int) -> int:
+    return 2 * symbols // (w - k + 2)
+
+
+def sketch_bits(anchors: int) -> int:
     """Cells per row: about eight for each expected anchor, within 2 ** 16 and 2 ** MAX_BITS."""
-    anchors = 2 * symbols / (w - k + 2)
     return int(min(MAX_BITS, max(16, np.ceil(np.log2(8 * anchors + 1)))))
 
 
+def repeat_flags(docs: DataFrame, anchors_of, anchors: int, hot_least: int):
+    """The broadcast ``Flags`` of the documents' anchors."""
+    bits = sketch_bits(anchors)
+    return docs.sparkSession.sparkContext.broadcast(Flags(counted(docs, anchors_of, bits), bits, anchors, hot_least))
+
+
 # ---- what the exact step returns ----------------------------------------------------------------------
 
 def led(key: np.ndarray, doc: np.ndarray, start: np.ndarray):

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortcast.llm import (chat, decontaminate, jaccard, langid, packing, pii, queries, substring, suffixes, tokens,
+from cohortcast.llm import (chat, decontaminate, jaccard, langid, packing, pii, queries, substring, suffixes, tokens, windows,
                             topk)
 from cohortcast.llm.common import components, prepare, written
 
@@ -187,6 +187,36 @@ def test_suffix_dedup(docs, rows):
     assert got == sorted(want, key=repr) and sum(x[2] for x in want) > 1000
 
 
+def test_hot_anchors_are_split_to_the_same_result(docs, spark):
+    """A line that nearly all documents hold between different neighbours: split at once, or never."""
+    r = random.Random(11)
+    line = " ".join(f"line{i}" for i in range(14))
+    rows = [(i, " ".join([f"a{r.randrange(40)}" for _ in range(r.randrange(9))] + [line]
+                         + [f"b{r.randrange(3)}" for _ in range(r.randrange(9))])) for i in range(300)]
+    many = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    places = lambda runs: sorted({(x.doc, x.start + k) for x in runs.collect() for k in range(x.n)})
+    for source in (docs.select("doc_id", "text"), many):
+        for find in (substring.repeated_windows, suffixes.repeated_strings):
+            got = places(find(source.where("doc_id is not null"), hot_least=2))
+            assert got == places(find(source, hot_least=1 << 40)) and got
+    for find, w, symbols, join in ((substring.repeated_windows, 20, bwords, tuple),
+                                   (suffixes.repeated_strings, 100, str.encode, bytes)):
+        first, want = {}, []
+        for i, t in rows:
+            s = symbols(t)
+            for p in range(len(s) - w + 1):
+                if first.setdefault(join(s[p:p + w]), (i, p)) != (i, p):
+                    want.append((i, p))
+        assert places(find(many, hot_least=2)) == want
+
+
+def test_frequent_anchors_are_found_over_tasks(spark, docs):
+    many = spark.range(0, 4000, 1, 5).select(F.col("id").alias("doc_id"), F.lit("word " * 30).alias("text"))
+    flags = windows.repeat_flags(many, substring._anchors_of, 4000, 1000).value
+    assert len(flags.hot) == 1 and flags(flags.hot).all()
+    assert not len(windows.repeat_flags(many, substring._anchors_of, 4000, 1 << 30).value.hot)
+
+
 def test_column_rounds_give_suffix_order_and_common_prefixes():
     r = np.random.default_rng(2)
     group = np.sort(r.integers(0, 6, 60))
