@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 
@@ -141,6 +142,16 @@ def words(texts: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(raw, s, e, _LOWER if lower else _BYTE), np.searchsorted(s, offs)
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # the C library of Linux has it
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system: a Python worker lives on after its batch, beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int):
     """Parts of a batch of at most ``most`` bytes of ``column`` (at least one row each), so memory follows bytes."""
     col = batch.column(batch.schema.get_field_index(column))
@@ -153,7 +164,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int):
         total += n
     if len(size) > first:
         yield batch.slice(first)
-    pa.default_memory_pool().release_unused()               # a worker lives on: what a batch took goes back
+    give_back()
 
 
 def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U64, components, join_checked, mix, partitions, slices, words, written
+from .common import U64, components, give_back, join_checked, mix, partitions, slices, words, written
 
 K = 5
 SKETCH_BITS = 20          # counters of the ordering sketch; a fixed 4 MB whatever the input
@@ -191,6 +191,8 @@ def by_part(batches: Iterator[pa.RecordBatch]):
             rows.append(row)
     if rows:
         yield now, rows
+    del rows
+    give_back()
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
