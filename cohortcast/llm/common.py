@@ -17,10 +17,16 @@ from ..session import ensure_checkpoint_dir
 U64 = np.uint64
 #: Rows of a few numbers each that may be broadcast; beyond it joins shuffle.
 BROADCAST_ROWS = 500_000
+#: Bytes of an Arrow batch between Spark and a Python worker, unless the session sets its own bound.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever the driver was started."""
+    """Let Python workers import this package wherever the driver was started, and bound the Arrow batches they get by bytes
+    (Spark's own bound of 64 MB a batch is above what a task of a small executor can hold)."""
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     have = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in have:
@@ -89,7 +95,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _C = U64(0x9E3779B97F4A7C15)
-_STEP = 2 << 20             # bytes hashed at once
+_STEP = 1 << 18             # bytes hashed at once
 _BYTE = mix(np.arange(1, 257, dtype=U64) * _C)
 _LOWER = _BYTE.copy()
 _LOWER[65:91] = _BYTE[97:123]

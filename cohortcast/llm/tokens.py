@@ -31,20 +31,21 @@ from .common import U64, joined, ragged, slices, span_hashes
 PIECES = "piece_bpe_32k.model"
 BYTES = "byte_bpe_50k.json"
 LIMIT = 4096
-CHUNK = 2 << 20
+CHUNK = 1 << 19             # bytes of text whose pre-tokens are held as arrays at once
 TABLE = 1_500_000           # remembered pre-tokens of a worker
 MARK = "▁"
 
 
 class Units:
-    """Remembers, for each pre-token's hash, its row in a table of ids (or counts); ``encode`` fills what is missing."""
+    """Remembers, for each pre-token's hash, its row in a table of ids (or counts); ``encode`` fills what is missing.
+    The hashes are kept sorted, so a lookup is a binary search and the table costs 28 bytes a pre-token beside its ids."""
 
     def __init__(self, encode, most: int = TABLE):
         self.encode, self.most = encode, most
         self.clear()
 
     def clear(self):
-        self.index, self.size = pd.Index(np.empty(0, U64)), np.empty(0, np.int64)
+        self.keys, self.at, self.size = np.empty(0, U64), np.empty(0, np.int32), np.empty(0, np.int64)
         self.ids, self.first = np.empty(0, np.uint32), np.empty(0, np.int64)
 
     def rows(self, raw: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
@@ -52,22 +53,34 @@ class Units:
         if not len(s):
             return np.empty(0, np.int64)
         which, u = pd.factorize(span_hashes(raw, s, e))
-        row = self.index.get_indexer(u)
+        row, place = self.find(u)
         if (row < 0).any():
-            if len(self.index) > self.most:
+            if len(self.keys) > self.most:
                 self.clear()
-                row = np.full(len(u), -1)
+                row, place = self.find(u)
             at = np.empty(len(u), np.int64)
             at[which[::-1]] = np.arange(len(which))[::-1]
             new = np.flatnonzero(row < 0)
-            data = raw.tobytes() if len(new) else b""
+            data = raw.tobytes()
             ids, size = self.encode([data[a:b] for a, b in zip(s[at[new]].tolist(), e[at[new]].tolist())])
-            row[new] = len(self.index) + np.arange(len(new))
-            self.index = pd.Index(np.r_[np.asarray(self.index, U64), u[new]])
+            row[new] = len(self.keys) + np.arange(len(new))
+            by = new[np.argsort(u[new])]
+            self.keys = np.insert(self.keys, place[by], u[by])
+            self.at = np.insert(self.at, place[by], row[by])
             self.first = np.r_[self.first, len(self.ids) + np.cumsum(size) - size]
             self.size, self.ids = np.r_[self.size, size], np.r_[self.ids, ids]
         return row[which]
 
+    def find(self, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The row of each hash (-1: not there), and its place among the sorted ones."""
+        place = np.searchsorted(self.keys, u)
+        row = np.full(len(u), -1, np.int64)
+        if len(self.keys):
+            near = np.minimum(place, len(self.keys) - 1)
+            there = self.keys[near] == u
+            row[there] = self.at[near[there]]
+        return row, place
+
 
 # ---- the sentence-piece model -----------------------------------------------------------------------
 
@@ -133,18 +146,17 @@ class IdRules:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.model = Tokenizer.from_file(path)
         import json
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        most = max([*spec.pop("model")["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
+        self.model = Tokenizer.from_file(path)
         pre = spec["pre_tokenizer"] or {}
         self.cuts = (spec["normalizer"] is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
                      and pre.get("use_regex", True) and not any(" " in t["content"] or "\n" in t["content"] or t["lstrip"]
                                                                 or t["rstrip"] for t in spec["added_tokens"]))
-        vocab = self.model.get_vocab(with_added_tokens=True)
-        self.length = np.zeros(max(vocab.values()) + 1, np.int64)     # a byte-level token has one character a byte
-        for t, i in vocab.items():
-            self.length[i] = len(t)
+        names = map(self.model.id_to_token, range(most + 1))
+        self.length = np.fromiter((len(t or "") for t in names), np.int64, most + 1)     # a byte-level token has one character a byte
         for t in spec["added_tokens"]:
             self.length[t["id"]] = len(t["content"].encode())
         self.units = Units(self.encode)
