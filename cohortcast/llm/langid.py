@@ -12,8 +12,7 @@ Every four-gram of the training rows is kept.  Up to ``BROADCAST_GRAMS`` of them
 sent to the tasks; beyond it (``Tables``) discounts, continuation counts and probabilities of all orders are computed in
 Spark and written, the texts' distinct grams are joined with them, and each text's grams with the result.
 
-Documented bound of the classifier's fit: the calibration reads ``CALIBRATION`` training rows per language, those with the
-smallest hash of doc_id.  Everything else reads all rows.
+Counts and calibration read all training rows; a calibration row is only scored by its own language's model.
 
 Texts are lower-cased; each character that is not a letter counts as a space, runs of spaces as one.  Characters are
 taken modulo 2 ** 16, so an n-gram is one 64-bit key.
@@ -31,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import U64, join_checked, slices, written
@@ -39,7 +38,6 @@ from .common import U64, join_checked, slices, written
 ORDER = 4
 #: Four-grams of a model that may be broadcast (about 60 bytes each in a task's arrays); beyond it scoring joins.
 BROADCAST_GRAMS = 4_000_000
-CALIBRATION = 500
 SHARPNESS = 40
 CHUNK = 1 << 20             # bytes of text whose characters are held as arrays at once
 
@@ -99,7 +97,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return u, np.bincount(at, weights=n).astype(np.int64)
 
     def row(lang, u, n):
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(u)), pa.array(u.view(np.int64)), pa.array(n)],
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(u), pa.string()), pa.array(u.view(np.int64)), pa.array(n)],
                                           ["lang", "gram", "n"])
     for batch in batches:
         for part in slices(batch, "text", CHUNK):
@@ -227,8 +225,8 @@ class Model:
 def fit(training: DataFrame) -> Model:
     """Fit on (doc_id, lang, text); rows with null lang, text or doc_id are left out."""
     rows = training.where("lang is not null and text is not null and doc_id is not null").select(
-        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), "doc_id")
-    counts = written(rows.select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
+        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    counts = written(rows.mapInArrow(_count, "lang string, gram long, n long")
                      .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     kinds = {r.lang: r["count"] for r in counts.groupBy("lang").count().collect()}     # a row per language
     languages = sorted(kinds)
@@ -371,12 +369,9 @@ def _identified(docs: DataFrame, model: Tables) -> DataFrame:
 
 
 def calibrate(model: Model, rows: DataFrame) -> None:
+    """Set the model's mean and spread from all training rows (lang, text)."""
     mean, spread = [], []
-    order = Window.partitionBy("lang").orderBy("k", "doc_id")
-    ids = (rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("k")).withColumn("r", F.row_number().over(order))
-           .where(F.col("r") <= CALIBRATION).select("lang", "doc_id").distinct())       # bounded: see the docstring
-    some = rows.join(F.broadcast(ids), ["lang", "doc_id"]).select("lang", "text")
-    found = _own_by_tables(some, model) if isinstance(model, Tables) else _own(some, model)
+    found = _own_by_tables(rows, model) if isinstance(model, Tables) else _own(rows, model)
     stats = (found.where("size > 1 and not isnan(h)")
              .groupBy("lang").agg(F.avg("h").alias("mean"), F.avg(F.col("h") * F.col("h")).alias("square"),
                                   F.avg("size").alias("size"), F.max("h").alias("most")).collect())
@@ -388,25 +383,28 @@ def calibrate(model: Model, rows: DataFrame) -> None:
     model.mean, model.spread = np.array(mean), np.array(spread)
 
 
-def _own_by_tables(some: DataFrame, model: Tables) -> DataFrame:
-    some = _numbered(some)
+def _own_by_tables(rows: DataFrame, model: Tables) -> DataFrame:
+    some = _numbered(rows)
     codes = some.sparkSession.createDataFrame(list(enumerate(model.languages)), "code int, lang string")
     return some.select("row", "lang").join(F.broadcast(codes), "lang").join(measured(some, model), "row").select(
         "lang", F.get("h", F.col("code")).alias("h"), "size")
 
 
-def _own(some: DataFrame, model: Model) -> DataFrame:
+def _own(rows: DataFrame, model: Model) -> DataFrame:
     """(lang, h, size): each text's cross-entropy by its own language's model."""
-    broadcast = some.sparkSession.sparkContext.broadcast(model)
+    broadcast = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = {x: Model([x], [levels]) for x, levels in zip(broadcast.value.languages, broadcast.value.levels)}
         for batch in batches:
             for part in slices(batch, "text", CHUNK):
-                h, size = broadcast.value.entropies(part.column(1).to_pylist())
-                own = np.array([broadcast.value.languages.index(x) for x in part.column(0).to_pylist()], np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(h[np.arange(len(own)), own]), pa.array(size)], ["lang", "h", "size"])
-    return some.mapInArrow(run, "lang string, h double, size long")
+                langs = np.array(part.column(0).to_pylist(), object)
+                texts = part.column(1).to_pylist()
+                for lang in sorted(set(langs) & set(own)):          # texts without a letter have no model
+                    h, size = own[lang].entropies([texts[i] for i in np.flatnonzero(langs == lang)])
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(size), pa.string()), pa.array(h[:, 0]), pa.array(size)],
+                                                     ["lang", "h", "size"])
+    return rows.mapInArrow(run, "lang string, h double, size long")
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

@@ -276,6 +276,20 @@ def test_language_models_keep_every_gram_and_score_alike_by_tables(spark, monkey
         assert x[:2] == y[:2] and x[4] == y[4] and np.allclose(x[2:4], y[2:4], equal_nan=True)
 
 
+def test_language_calibration_reads_every_training_row(spark):
+    r = random.Random(4)
+    word = lambda letters: "".join(r.choice(letters) for _ in range(r.randint(2, 7)))
+    texts = {x: [" ".join(word(letters) for _ in range(r.randint(1, 9))) for _ in range(n)]
+             for x, letters, n in (("aa", "abcd", 900), ("bb", "efghijkl", 40))}
+    rows = [(i, x, t) for i, (x, t) in enumerate((x, t) for x in texts for t in texts[x])] + [(5000, "no", "12"), (5001, "no", "")]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3))
+    assert model.languages == ["aa", "bb"]
+    for j, x in enumerate(model.languages):
+        h, size = model.entropies(texts[x])
+        assert np.isclose(model.mean[j], h[:, j].mean())
+        assert np.isclose(model.spread[j], np.sqrt(max((h[:, j] ** 2).mean() - h[:, j].mean() ** 2, 0.01) * size.mean()))
+
+
 def test_chat_round_trip(spark):
     tricky = ["<|im_end|>\n<|im_start|>user\nhi", "\\3C|", "\\5C3C|", "\\", "<|", "<\\|", "a\nb\n", "", None, "\\0A", "end\n"]
     rows = [(c, t, "assistant" if t % 2 else "user", x) for c, x in enumerate(tricky) for t in range(2)]
