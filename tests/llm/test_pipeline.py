@@ -1,5 +1,7 @@
 """The pipeline over the smallest tables: what each stage keeps, against plain Python on that stage's own input."""
 
+import zlib
+
 import corpus_pipeline as cp
 from cohortcast.llm.common import table, written
 
@@ -44,3 +46,10 @@ def test_stages_keep_what_plain_rules_keep(spark):
         assert r["offset"] == at.get(r["sequence_id"], 0)
         at[r["sequence_id"]] = r["offset"] + r["length"]
     assert max(at.values()) <= 2048
+
+
+def test_language_id_learns_from_every_labelled_row(spark):
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 0]
+    rows = [(i, "zz", "wuzu kawa lumo " * 5) for i in held]              # all in the part that op4 holds out
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    assert sorted(r.doc_id for r in cp.language_id(spark, docs, SF).collect()) == held
