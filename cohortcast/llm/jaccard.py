@@ -38,6 +38,8 @@ CHUNK = 4 << 20           # bytes of text held at once by a task
 ROUGH, FINE = 2, 8        # bits a shingle of the signatures: to drop pairs with hubs (mostly unlike sets), and within
 FINE_BITS = 2048          # groups (often sets of nearly the same words); large sets have ROUGH bits a shingle in both
 HUBS = 4                  # sets of a group that all its others are compared with first
+TOKEN_BYTES = 6           # of a prefix shingle's 64 bits that name its group; two that agree in them share a group, which
+TOKEN = U64((1 << 8 * TOKEN_BYTES) - 1)     # only adds comparisons
 GROUP = 2000              # sets of one prefix shingle that a task compares; larger groups are split into blocks
 _MULT = [U64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                           0xA0761D6478BD642F)]
@@ -98,6 +100,19 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
 
 
+def planes(x: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of 64-bit numbers, all lowest bytes first: equal high bytes of neighbours pack well in a shuffle."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def from_planes(raw: bytes, width: int) -> np.ndarray:
+    """The 64-bit numbers of ``planes``; bytes that were left out are zero."""
+    x = np.frombuffer(raw, np.uint8).reshape(width, -1)
+    out = np.zeros((x.shape[1], 8), np.uint8)
+    out[:, :width] = x.T
+    return out.view(U64).reshape(-1)
+
+
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(1 << SKETCH_BITS, np.uint32)
     for batch in batches:
@@ -114,7 +129,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.nulls(n, pa.int32()), *(pa.array([signature(x, fine) for x in sets], pa.binary())
                                             for fine in (False, True))],
                 ["doc_id", "n", "d1", "d2", "block", "bits", "fine"])
-    rows = [(i, x.tobytes()) for i, x in enumerate(np.split(counts, BLOCKS)) if x.any()]
+    rows = [(i, planes(x.astype(U64), 4)) for i, x in enumerate(np.split(counts, BLOCKS)) if x.any()]
     n = len(rows)
     yield pa.RecordBatch.from_arrays(
         [pa.nulls(n, pa.int64())] * 4 + [pa.array([r[0] for r in rows], pa.int32()),
@@ -126,7 +141,7 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for b, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            x = np.frombuffer(c, np.uint32).astype(np.uint64)
+            x = from_planes(c, 4)
             total[b] = total[b] + x if b in total else x
     yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()),
                                       pa.array([x.tobytes() for x in total.values()], pa.binary())],
@@ -166,15 +181,15 @@ def _prefixes(classes, parts: int):
                     pre.append(p)
                 if not ids:
                     continue
-                docs, toks = np.concatenate(ids), np.concatenate(pre)
+                docs, toks = np.concatenate(ids), np.concatenate(pre) & TOKEN
                 to = (mix(toks.copy()) % U64(parts)).astype(np.int32)
                 order = np.argsort(to, kind="stable")
                 docs, toks, to = docs[order], toks[order], to[order]
                 cut = np.flatnonzero(np.r_[True, to[1:] != to[:-1]])
                 ends = np.r_[cut[1:], len(to)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(to[cut]), pa.array([toks[s:e].tobytes() for s, e in zip(cut, ends)], pa.binary()),
-                     pa.array([docs[s:e].tobytes() for s, e in zip(cut, ends)], pa.binary())],
+                    [pa.array(to[cut]), pa.array([planes(toks[s:e], TOKEN_BYTES) for s, e in zip(cut, ends)], pa.binary()),
+                     pa.array([planes(docs[s:e], 8) for s, e in zip(cut, ends)], pa.binary())],
                     ["part", "tokens", "docs"])
     return run
 
@@ -198,8 +213,8 @@ def by_part(batches: Iterator[pa.RecordBatch]):
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(token, doc) of the tokens that two or more sets have in their prefixes."""
     for _, rows in by_part(batches):
-        toks = np.frombuffer(b"".join(r[1] for r in rows), U64)
-        docs = np.frombuffer(b"".join(r[2] for r in rows), np.int64)
+        toks = np.concatenate([from_planes(r[1], TOKEN_BYTES) for r in rows])
+        docs = np.concatenate([from_planes(r[2], 8) for r in rows]).view(np.int64)
         order = np.argsort(toks, kind="stable")
         toks, docs = toks[order], docs[order]
         same = toks[1:] == toks[:-1]
@@ -354,11 +369,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     shared = written(docs.mapInArrow(_prefixes(classes, parts), "part int, tokens binary, docs binary")
                      .repartition(parts, "part").sortWithinPartitions("part")
                      .mapInArrow(_shared, "token long, doc long"), "shared")
-    groups = written(shared.join(member.select(F.col("doc_id").alias("doc"), "rep", "n"), "doc")
-                     .select("token", "rep", "n").distinct(), "groups")
+    # counted over a window, so that the rows are dealt by token once; small as they are, a hot token's rows fit one task
+    live = written(shared.join(member.select(F.col("doc_id").alias("doc"), "rep", "n"), "doc")
+                   .select("token", "rep", "n").distinct()
+                   .withColumn("size", F.count("*").over(Window.partitionBy("token"))).where("size > 1"), "groups")
     # a group's hubs are its most central sets: those that meet most others, over all their prefix shingles
-    size = groups.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
-    live = groups.join(size, "token")
     weight = live.groupBy("rep").agg(F.sum(F.col("size") - 1).alias("weight"))
     live = written(live.join(weight, "rep"), "live")
     central = Window.partitionBy("token").orderBy(F.desc("weight"), "rep")
