@@ -92,13 +92,17 @@ def dim_sheet_scan(spark, sf_dir):
     return classes.join(sheet, "HORARIO").select("HORARIO", "HORARIO_ACTUAL", "N_CLASES")
 
 
+#: Files of CSV: gzip can't be split, so each holds a bounded number of rows (some 150 MB of text).
+CSV_FILES = {"compression": "gzip", "maxRecordsPerFile": 1_000_000}
+
+
 @query("csv_passthrough", lambda: _sheet_sql().replace("SELECT ", "SELECT COUNT(*) OVER () AS N_OBSERVED, ", 1))
 def csv_passthrough(spark, sf_dir):
     """CSV files copied, their rows counted by an observation of that write; the copy with the count beside each row."""
     root = _scratch(spark)
     rows = _sheet_rows(spark, sf_dir)
-    rows.write.option("header", "true").csv(f"{root}/in")
-    n = ingest.csv_passthrough(spark, f"{root}/in", f"{root}/out")
+    rows.write.options(**CSV_FILES).option("header", "true").csv(f"{root}/in")
+    n = ingest.csv_passthrough(spark, f"{root}/in", f"{root}/out", **CSV_FILES)
     back = spark.read.schema(rows.schema).option("header", "true").csv(f"{root}/out")
     return back.withColumn("N_OBSERVED", F.lit(n).cast("long"))
 

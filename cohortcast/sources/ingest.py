@@ -202,10 +202,11 @@ def with_file_version(df: DataFrame, pattern: str = r".+_(v[0-9]+).*[.]parquet")
     return df.withColumn("NAME_FILE", name).withColumn("VERSION", F.regexp_extract(name, pattern, 1))
 
 
-def csv_passthrough(spark: SparkSession, src: str, dst: str) -> int:
-    """Copy CSV files, counting rows with an observation of the write itself (no second pass over the data)."""
+def csv_passthrough(spark: SparkSession, src: str, dst: str, **options) -> int:
+    """Copy CSV files, counting rows with an observation of the write itself (no second pass over the data); ``options``
+    go to the writer (the copy is plain text without them)."""
     from pyspark.sql import Observation
     obs = Observation("rows")
     spark.read.option("header", "true").csv(src).observe(obs, F.count(F.lit(1)).alias("n")) \
-        .write.mode("overwrite").option("header", "true").csv(dst)
+        .write.mode("overwrite").options(**options).option("header", "true").csv(dst)
     return int(obs.get["n"])

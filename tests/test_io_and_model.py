@@ -191,3 +191,18 @@ def test_verdict_sink_and_csv_passthrough(spark):
 def test_seasonal_training_months():
     from cohortcast.functions import periods as per
     assert per.seasonal_training_periods(202503, [1, 2, 3]) == [202403, 202501, 202502, 202503]
+
+
+def test_sheets_and_passthrough_files_are_compressed_and_bounded(spark, monkeypatch, tmp_path):
+    from cohortcast.catalog import storage
+    monkeypatch.setattr(storage, "_scratch", lambda _: str(tmp_path))
+    monkeypatch.setitem(storage.CSV_FILES, "maxRecordsPerFile", 2000)
+    rows = storage._sheet_rows(spark, SF).count()
+    text = storage._sheet_rows(spark, SF).select(F.sum(F.length(F.to_csv(F.struct(*storage.SHEET))))).first()[0]
+    size = lambda pattern: sum(f.stat().st_size for f in tmp_path.glob(pattern))
+    got = storage.csv_passthrough(spark, SF)
+    assert got.count() == rows and {r[0] for r in got.select("N_OBSERVED").distinct().collect()} == {rows}
+    for part in ("in", "out"):
+        assert 0 < size(f"{part}/part-*") < text / 2
+        files = spark.read.csv(f"{tmp_path}/{part}", header=True).groupBy(F.col("_metadata.file_path")).count()
+        assert files.agg(F.max("count")).first()[0] <= 2000
