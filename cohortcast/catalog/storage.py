@@ -47,7 +47,7 @@ def _sheet_rows(spark, sf_dir):
 
 
 def write_sheets(rows, path: str) -> None:
-    """CSV files as the source system leaves them, one a year and site: a title line, the header row, the rows."""
+    """CSV files as the source system leaves them, one a year and site (gzip): a title line, the header row, the rows."""
     names = ",".join(SHEET_HEADER.get(c, c.replace("_", " ").capitalize()) for c in SHEET)
     key = [F.floor(F.col("PERIODO") / 100).alias("anio"), F.regexp_replace("SEDE", " ", "-").alias("archivo")]
     body = rows.select(*key, F.lit(2).alias("place"), F.to_csv(F.struct(*SHEET)).alias("value"))
@@ -55,7 +55,7 @@ def write_sheets(rows, path: str) -> None:
         F.struct(F.lit(0).alias("place"), F.lit("Programación académica, exportada").alias("value")),
         F.struct(F.lit(1).alias("place"), F.lit(names).alias("value")))).alias("x")).select("anio", "archivo", "x.*")
     (body.unionByName(top).repartition("anio", "archivo").sortWithinPartitions("anio", "archivo", "place")
-         .drop("place").write.partitionBy("anio", "archivo").text(path))
+         .drop("place").write.partitionBy("anio", "archivo").text(path, compression="gzip"))
 
 
 def _sheet_sql() -> str:

@@ -206,3 +206,5 @@ def test_sheets_and_passthrough_files_are_compressed_and_bounded(spark, monkeypa
         assert 0 < size(f"{part}/part-*") < text / 2
         files = spark.read.csv(f"{tmp_path}/{part}", header=True).groupBy(F.col("_metadata.file_path")).count()
         assert files.agg(F.max("count")).first()[0] <= 2000
+    assert storage.fact_sheet_scan(spark, SF).count() == rows
+    assert 0 < size("prog-acad/*/*/part-*") < text / 2
