@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -276,6 +277,19 @@ def test_language_models_keep_every_gram_and_score_alike_by_tables(spark, monkey
         assert x[:2] == y[:2] and x[4] == y[4] and np.allclose(x[2:4], y[2:4], equal_nan=True)
 
 
+def test_prefix_tokens_travel_in_six_bytes_as_planes():
+    x = np.random.default_rng(5).integers(0, 1 << 48, 300).astype(np.uint64)
+    raw = jaccard.planes(x, jaccard.TOKEN_BYTES)
+    assert len(raw) == 6 * len(x) and np.array_equal(jaccard.from_planes(raw, jaccard.TOKEN_BYTES), x)
+    ids = np.array([-5, 0, 1 << 62], np.int64)
+    assert np.array_equal(jaccard.from_planes(jaccard.planes(ids, 8), 8).view(np.int64), ids)
+    text = pa.RecordBatch.from_arrays([pa.array([7, 8]), pa.array(["a b c d e f g h"] * 2)], ["doc_id", "text"])
+    classes = type("Sent", (), {"value": np.zeros(1 << jaccard.SKETCH_BITS, np.uint8)})
+    for part in jaccard._prefixes(classes, 3)(iter([text])):
+        for tokens, docs in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
+            assert len(tokens) // 6 == len(docs) // 8 and set(jaccard.from_planes(docs, 8).tolist()) == {7}
+
+
 def test_language_calibration_reads_every_training_row(spark):
     r = random.Random(4)
     word = lambda letters: "".join(r.choice(letters) for _ in range(r.randint(2, 7)))
