@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import functools
 import os
 import uuid
 
@@ -158,6 +159,23 @@ def give_back() -> None:
         _trim(0)
 
 
+_remembered: list = []
+
+
+def remembered(make):
+    """``functools.cache`` of what a worker keeps from task to task (vocabularies, their pre-tokens), until ``forget``."""
+    _remembered.append(functools.cache(make))
+    return _remembered[-1]
+
+
+def forget() -> None:
+    """For tasks that need nothing remembered: a worker that did another operator's work before drops what it kept of it."""
+    if any(x.cache_info().currsize for x in _remembered):
+        for x in _remembered:
+            x.cache_clear()
+        give_back()
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int):
     """Parts of a batch of at most ``most`` bytes of ``column`` (at least one row each), so memory follows bytes."""
     col = batch.column(batch.schema.get_field_index(column))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U64, components, give_back, join_checked, mix, partitions, slices, words, written
+from .common import U64, components, forget, give_back, join_checked, mix, partitions, slices, words, written
 
 K = 5
 SKETCH_BITS = 20          # counters of the ordering sketch; a fixed 4 MB whatever the input
@@ -114,6 +114,7 @@ def from_planes(raw: bytes, width: int) -> np.ndarray:
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     counts = np.zeros(1 << SKETCH_BITS, np.uint32)
     for batch in batches:
         for part in slices(batch, "text", CHUNK // 4):

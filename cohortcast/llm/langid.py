@@ -30,16 +30,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, join_checked, slices, written
+from .common import U64, forget, join_checked, slices, written
 
 ORDER = 4
 #: Four-grams of a model that may be broadcast (about 60 bytes each in a task's arrays); beyond it scoring joins.
 BROADCAST_GRAMS = 4_000_000
 SHARPNESS = 40
-CHUNK = 1 << 20             # bytes of text whose characters are held as arrays at once
+CHUNK = 1 << 18             # bytes of text whose characters are held as arrays at once (some 60 bytes each)
 
 
 @functools.cache
@@ -88,6 +88,7 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     held: dict[str, list] = {}
 
     def flush(lang):
@@ -254,10 +255,15 @@ class Tables(Model):
     unseen: list[float] | None = None
 
 
+def _codes(spark: SparkSession, languages: list[str]) -> DataFrame:
+    """(code, lang) from Arrow: from Python rows they would be read by further Python workers, beside those of the batches."""
+    return spark.createDataFrame(pa.table({"code": pa.array(range(len(languages)), pa.int32()),
+                                           "lang": pa.array(languages, pa.string())}))
+
+
 def _coded(df: DataFrame, languages: list[str]) -> DataFrame:
     """(lang, gram, n) with the language's place in ``languages`` for its name."""
-    codes = df.sparkSession.createDataFrame(list(enumerate(languages)), "code int, lang string")
-    return df.join(F.broadcast(codes), "lang").select(F.col("code").alias("lang"), "gram", "n")
+    return df.join(F.broadcast(_codes(df.sparkSession, languages)), "lang").select(F.col("code").alias("lang"), "gram", "n")
 
 
 def _low(key: str, n: int):
@@ -306,6 +312,7 @@ def tabled(counts: DataFrame, languages: list[str]) -> Tables:
 
 def _grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(row, gram, n): the distinct four-grams of each text."""
+    forget()
     for batch in batches:
         for part in slices(batch, "text", CHUNK):
             k, offs = grams(part.column(1).to_pylist())
@@ -385,7 +392,7 @@ def calibrate(model: Model, rows: DataFrame) -> None:
 
 def _own_by_tables(rows: DataFrame, model: Tables) -> DataFrame:
     some = _numbered(rows)
-    codes = some.sparkSession.createDataFrame(list(enumerate(model.languages)), "code int, lang string")
+    codes = _codes(some.sparkSession, model.languages)
     return some.select("row", "lang").join(F.broadcast(codes), "lang").join(measured(some, model), "row").select(
         "lang", F.get("h", F.col("code")).alias("h"), "size")
 
@@ -395,6 +402,7 @@ def _own(rows: DataFrame, model: Model) -> DataFrame:
     broadcast = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         own = {x: Model([x], [levels]) for x, levels in zip(broadcast.value.languages, broadcast.value.levels)}
         for batch in batches:
             for part in slices(batch, "text", CHUNK):
@@ -417,6 +425,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for part in slices(batch, "text", CHUNK):
                 lang, score, entropy, rejected = broadcast.value.predict(part.column(at).to_pylist())

@@ -16,7 +16,6 @@ columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-import functools
 import os
 from collections.abc import Iterator
 
@@ -25,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 
-from .common import U64, joined, ragged, slices, span_hashes
+from .common import U64, joined, ragged, remembered, slices, span_hashes
 
 PIECES = "piece_bpe_32k.model"
 BYTES = "byte_bpe_50k.json"
@@ -202,12 +201,12 @@ class IdRules:
         return ids, ends[np.searchsorted(s, offs)]
 
 
-@functools.cache
+@remembered
 def count_rules(path: str) -> CountRules:
     return CountRules(path)
 
 
-@functools.cache
+@remembered
 def id_rules(path: str) -> IdRules:
     return IdRules(path)
 

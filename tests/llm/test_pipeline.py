@@ -1,8 +1,13 @@
 """The pipeline over the smallest tables: what each stage keeps, against plain Python on that stage's own input."""
 
+import tracemalloc
 import zlib
 
+import numpy as np
+import pyarrow as pa
+
 import corpus_pipeline as cp
+from cohortcast.llm import jaccard, langid, tokens
 from cohortcast.llm.common import table, written
 
 from test_operators import SF, _strings, shingles
@@ -53,3 +58,37 @@ def test_language_id_learns_from_every_labelled_row(spark):
     rows = [(i, "zz", "wuzu kawa lumo " * 5) for i in held]              # all in the part that op4 holds out
     docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
     assert sorted(r.doc_id for r in cp.language_id(spark, docs, SF).collect()) == held
+
+
+def test_language_id_holds_little_beside_its_batch():
+    words = [f"{a}{b}ol{c}e" for a in "abcdefgh" for b in "aeiou" for c in "mnrst"]
+    text = " ".join(words[i * i % len(words)] for i in range(1000))
+    batch = pa.RecordBatch.from_arrays([pa.array(["xx"] * 600), pa.array([text] * 600)], ["lang", "text"])
+    sums = {}
+    langid._letters()
+    tracemalloc.start()
+    for out in langid._count(iter([batch])):
+        sums = dict(zip(out.column(1).to_pylist(), out.column(2).to_pylist()))
+    counted = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    k, n = np.unique(langid.grams([text])[0], return_counts=True)
+    assert batch.nbytes > 3 << 20 and counted < 24 << 20
+    assert sums == dict(zip(k.view(np.int64).tolist(), (600 * n).tolist()))
+
+
+def test_workers_of_other_stages_drop_the_vocabularies():
+    docs = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["one two three four five six"])], ["doc_id", "text"])
+    for stage in (langid._count, langid._grams_of, jaccard._profile):
+        ids, _ = tokens.id_rules(tokens.vocabulary(tokens.BYTES)).ids(docs.column(1))
+        assert len(ids) and tokens.id_rules.cache_info().currsize == 1
+        list(stage(iter([])))
+        assert tokens.id_rules.cache_info().currsize == 0
+
+
+def test_language_codes_start_no_python_workers(spark, capsys):
+    counts = spark.range(3).selectExpr("'aa' lang", "id gram", "id n")
+    coded = langid._coded(counts, ["aa", "bb"])
+    coded.explain()
+    assert "ExistingRDD" not in capsys.readouterr().out
+    assert sorted(map(tuple, coded.collect())) == [(0, 0, 0), (0, 1, 1), (0, 2, 2)]
+    assert langid._coded(counts, []).schema == coded.schema and langid._coded(counts, []).count() == 0
